@@ -14,15 +14,25 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_KM, haversine_km
 from ..functions.licence import licence_digits, licence_letters, with_canonical_license
 from ..functions.text import normalize_host
+from ..session import cut_lineage
 from .filters import is_present
 
 
-def with_licence_columns(df: DataFrame, licence: str = "licencia") -> DataFrame:
+def with_licence_columns(df: DataFrame, licence: str = "licencia", materialize: bool = True) -> DataFrame:
     """Add ``_license_norm`` (canonical licence), ``licencia_letras`` and
-    ``licencia_numeros``.  The normalised text is materialised once."""
-    return (with_canonical_license(df, licence)
-              .withColumn("licencia_letras", licence_letters("_license_norm"))
-              .withColumn("licencia_numeros", licence_digits("_license_norm")))
+    ``licencia_numeros``.
+
+    The keys are written once (``materialize``) into the checkpoint folder:
+    later filters and joins on them then read plain columns.  Without the cut,
+    Catalyst pushes every filter on a derived key (including the inferred
+    ``isnotnull`` of a join key) down through the staged projections and
+    inlines each regex as many times as it is referenced, which multiplies the
+    per-row work and overflows whole-stage code generation.
+    """
+    out = (with_canonical_license(df, licence)
+           .withColumn("licencia_letras", licence_letters("_license_norm"))
+           .withColumn("licencia_numeros", licence_digits("_license_norm")))
+    return cut_lineage(out) if materialize else out
 
 
 def _by(by) -> list:
@@ -118,7 +128,9 @@ def group_by_licence_platform(df: DataFrame, licence: str = "licencia", platform
                               by=()) -> DataFrame:
     """Cross-platform grouping: licence key, platform as host, medoid anchor,
     ``ROW_{row_id}`` ids."""
-    d = with_canonical_license(df, licence).withColumn("_host_norm", normalize_host(platform))
+    if "_license_norm" not in df.columns:
+        df = with_licence_columns(df, licence)
+    d = df.withColumn("_host_norm", normalize_host(platform))
     return group_by_licence_host(d, "_license_norm", "_host_norm", anchor="medoid", row_suffix=False, by=by)
 
 
@@ -126,10 +138,11 @@ def group_licence_flags(df: DataFrame, group="group_id", licence: str = "licenci
     """Attach per-group ``group_has_license`` and ``no_license_count``."""
     g = _by(group)
     d = df.withColumn("has_license", is_present(licence))
-    flags = d.groupBy(*g).agg(F.bool_or("has_license").alias("group_has_license"),
-                              F.sum((~F.col("has_license")).cast("int")).alias("no_license_count"))
-    joined = d.join(flags, [d[c].eqNullSafe(flags[c]) for c in g], "left")
-    return joined.select(*[d[c] for c in d.columns], "group_has_license", "no_license_count")
+    flags = d.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)]).agg(
+        F.bool_or("has_license").alias("group_has_license"),
+        F.sum((~F.col("has_license")).cast("int")).alias("no_license_count"))
+    joined = d.join(flags, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(g)], "left")
+    return joined.drop(*[f"_g{i}" for i in range(len(g))])
 
 
 def drop_lone_unlicensed(df: DataFrame, group="group_id", licence: str = "licencia") -> DataFrame:

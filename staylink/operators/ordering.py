@@ -34,10 +34,10 @@ def add_row_id(df: DataFrame, sort_keys, name: str = "row_id", partition_by=None
                   .withColumn(name, F.col("_mid") + F.col("_off")).drop("_off"))
     if partition_by:
         part = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-        base = out.groupBy(*part).agg(F.min(name).alias("_base"))
-        out = out.join(base, [out[c].eqNullSafe(base[c]) for c in part], "left") \
-                 .select(*[out[c] for c in out.columns], "_base") \
-                 .withColumn(name, F.col(name) - F.col("_base")).drop("_base")
+        base = out.groupBy(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(part)]).agg(F.min(name).alias("_base"))
+        out = out.join(base, [F.col(c).eqNullSafe(F.col(f"_p{i}")) for i, c in enumerate(part)], "left") \
+                 .withColumn(name, F.col(name) - F.col("_base")) \
+                 .drop("_base", *[f"_p{i}" for i in range(len(part))])
     return out.drop("_pid", "_mid")
 
 

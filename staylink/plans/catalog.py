@@ -79,3 +79,266 @@ def q_hostless_licence_coverage(spark, sf_dir):
 @query
 def q_usable_coverage(spark, sf_dir):
     return q.usable_coverage(load_listings(spark, sf_dir))
+
+
+# --- filters and projections -------------------------------------------------
+
+from ..operators import joins as jn  # noqa: E402
+from ..operators import ordering as ordr  # noqa: E402
+from ..operators import survivors as sv  # noqa: E402
+from ..operators.graph import cluster_seeded, connected_components  # noqa: E402
+from ..operators.similarity import title_similarity_edges  # noqa: E402
+from . import dedup  # noqa: E402
+
+
+@query
+def q_holidu_cleanup(spark, sf_dir):
+    """blank_sentinel + drop_reseller_hosts on the Holidu rows."""
+    d = dedup.holidu_cleanup(load_listings(spark, sf_dir))
+    return d.select("row_id", "plataforma", "anfitrion", "licencia")
+
+
+@query
+def q_split_host_presence(spark, sf_dir):
+    usable, nohost = flt.split_host_presence(load_listings(spark, sf_dir))
+    a = usable.groupBy("plataforma").agg(F.count(F.lit(1)).alias("rows")).withColumn("subset", F.lit("usable"))
+    b = nohost.groupBy("plataforma").agg(F.count(F.lit(1)).alias("rows")).withColumn("subset", F.lit("no_host"))
+    return a.unionByName(b)
+
+
+@query
+def q_class_filters(spark, sf_dir):
+    """split_licence_parts + drop_licence_classes + drop_property_types + drop_missing."""
+    d = grp.with_licence_columns(load_listings(spark, sf_dir))
+    d = flt.drop_missing(flt.drop_property_types(flt.drop_licence_classes(d)), ["capacidad"])
+    return d.select("row_id", "_license_norm", "licencia_letras", "licencia_numeros", "tipo")
+
+
+@query
+def q_listing_projections(spark, sf_dir):
+    """listing_url, clean_url, derive_type, stamp_snapshot, is_present."""
+    d = load_listings(spark, sf_dir)
+    pid = F.col("property_id").cast("string")
+    url = F.concat(F.lit("https://www.airbnb.es/rooms/"), pid, F.lit("?check_in=2025-07-01&adults=2"))
+    d = flt.stamp_snapshot(d, "2025-06-25", kind="Entire home/apt")
+    return d.select("row_id", flt.listing_url("booking", pid).alias("booking_url"),
+                    flt.listing_url("holidu", pid).alias("holidu_url"),
+                    flt.clean_url(url).alias("clean_url"), flt.url_listing_id(url).alias("listing_id"),
+                    flt.derive_type("nombre").alias("derived_tipo"), F.col("fecha").cast("string").alias("fecha"),
+                    "alojamiento", flt.is_present("anfitrion").alias("host_present"))
+
+
+@query
+def q_parse_result_count(spark, sf_dir):
+    """Result headings rendered from the listing counts per (platform, type),
+    parsed back: thousands separators, 'Más de', banners, missing heading."""
+    c = load_listings(spark, sf_dir).groupBy("plataforma", "tipo").agg(F.count(F.lit(1)).alias("n"))
+    fmt = F.regexp_replace(F.format_number(F.col("n"), 0), ",", ".")
+    heading = (F.when(F.col("tipo") == "Hotel", F.lit(None).cast("string"))
+               .when(F.col("tipo") == "Finca", F.lit("No hay coincidencias exactas"))
+               .when(F.col("n") > 1000, F.lit("Más de 1.000 alojamientos"))
+               .otherwise(F.concat(fmt, F.lit(" alojamientos"))))
+    return c.select("plataforma", "tipo", "n", heading.alias("heading"),
+                    flt.parse_result_count(heading).alias("parsed"))
+
+
+@query
+def q_fill_defaults(spark, sf_dir):
+    """fill_defaults (origin mode) + exclude_anchored over platform groups."""
+    d = dedup_input(spark, sf_dir)
+    g = grp.group_by_licence_platform(d)
+    g = flt.exclude_anchored(g)
+    return flt.fill_defaults(g.select("row_id", "anfitrion", "tipo", "plataforma", "habitaciones",
+                                      "capacidad", "lat", "lng", "group_id"), missing="origin")
+
+
+# --- joins ---------------------------------------------------------------------
+
+def dedup_input(spark, sf_dir):
+    """Rows with platform and licence present (the cross-platform grouping input)."""
+    d = load_listings(spark, sf_dir)
+    return d.where(flt.is_present("plataforma") & flt.is_present("licencia"))
+
+
+@query
+def q_tag_island(spark, sf_dir):
+    return jn.tag_island(load_listings(spark, sf_dir)).select("row_id", "isla")
+
+
+@query
+def q_snapshot_counts(spark, sf_dir):
+    return q.snapshot_counts(jn.tag_island(load_listings(spark, sf_dir)))
+
+
+@query
+def q_radius_join(spark, sf_dir):
+    """same_config_pairs: 200 m (index radius) and equal capacity and rooms, per platform."""
+    d = load_listings(spark, sf_dir)
+    return jn.radius_join(d, 0.2, equal_on=["plataforma", "capacidad", "habitaciones"])
+
+
+@query
+def q_radius_join_model(spark, sf_dir):
+    """500 m with capacity/rooms filled with -1 (nulls match), across platforms."""
+    d = flt.fill_defaults(load_listings(spark, sf_dir), missing="exclude").na.fill({"capacidad": -1})
+    return jn.radius_join(d, 0.5, equal_on=["capacidad", "habitaciones"], null_equal=True)
+
+
+@query
+def q_group_by_licence_platform(spark, sf_dir):
+    g = grp.group_by_licence_platform(dedup_input(spark, sf_dir))
+    return g.select("row_id", "_license_norm", "_host_norm", "group_id")
+
+
+@query
+def q_medoid_anchor(spark, sf_dir):
+    d = grp.with_licence_columns(dedup_input(spark, sf_dir)).withColumn("_host_norm", normalize_host("plataforma"))
+    return grp.medoid_anchor(d, "_license_norm", "_host_norm")
+
+
+@query
+def q_host_counts(spark, sf_dir):
+    return grp.host_counts(hosted_licensed(spark, sf_dir), "_license_norm", "_host_norm", by=["plataforma"])
+
+
+def platform_groups(spark, sf_dir):
+    return grp.group_by_licence_platform(grp.with_licence_columns(dedup_input(spark, sf_dir)))
+
+
+@query
+def q_merge_numeric_letter(spark, sf_dir):
+    g = jn.merge_numeric_letter(platform_groups(spark, sf_dir))
+    return g.select("row_id", "licencia_letras", "licencia_numeros", "group_id")
+
+
+@query
+def q_split_groups_by_distance(spark, sf_dir):
+    g = sv.split_groups_by_distance(jn.merge_numeric_letter(platform_groups(spark, sf_dir)), 2.0)
+    return g.select("row_id", "group_id")
+
+
+@query
+def q_drop_hostless_known(spark, sf_dir):
+    g = sv.split_groups_by_distance(jn.merge_numeric_letter(platform_groups(spark, sf_dir)), 2.0)
+    surv = grp.first_per_group(g, "group_id")
+    nh = sv.hostless_groups(load_listings(spark, sf_dir))
+    return grp.drop_hostless_known(nh, surv).select("row_id", "group_id", "_license_norm", "_host_norm")
+
+
+@query
+def q_hostless_groups(spark, sf_dir):
+    return sv.hostless_groups(load_listings(spark, sf_dir)).select("row_id", "group_id", "_license_norm",
+                                                                    "_host_norm")
+
+
+@query
+def q_coverage_gaps(spark, sf_dir):
+    """Planned listings (all) against collected ones (those a collector could
+    place: coordinates present); the gap is the rows never collected."""
+    d = load_listings(spark, sf_dir)
+    collected = d.where(F.col("lat").isNotNull())
+    return jn.coverage_gaps(d.select("row_id", "plataforma"), collected, "row_id")
+
+
+# --- grouping / survivors -------------------------------------------------------
+
+@query
+def q_group_licence_flags(spark, sf_dir):
+    g = licence_groups(spark, sf_dir)
+    g = grp.group_licence_flags(g, ["plataforma", "group_id"])
+    return g.select("row_id", "has_license", "group_has_license", "no_license_count")
+
+
+@query
+def q_drop_lone_unlicensed(spark, sf_dir):
+    """Grouping by (platform, property) as the incoming group, then the lone
+    unlicensed drop."""
+    d = load_listings(spark, sf_dir).withColumn("group_id", F.concat(F.lit("P"), F.col("property_id").cast("string")))
+    return grp.drop_lone_unlicensed(d, ["plataforma", "group_id"]).select("row_id", "group_id")
+
+
+@query
+def q_unlicensed_survivors(spark, sf_dir):
+    d = load_listings(spark, sf_dir).withColumn("group_id", F.concat(F.lit("P"), F.col("property_id").cast("string")))
+    return grp.unlicensed_survivors(d, by=["plataforma"]).select("row_id", "plataforma", "group_id")
+
+
+@query
+def q_first_seen(spark, sf_dir):
+    """First capture per platform id (property id within a platform)."""
+    d = load_listings(spark, sf_dir)
+    return grp.first_per_group(d, ["plataforma", "property_id"]).select("plataforma", "property_id", "row_id")
+
+
+@query
+def q_first_per_group(spark, sf_dir):
+    g = licence_groups(spark, sf_dir)
+    return grp.first_per_group(g, ["plataforma", "group_id"]).select("plataforma", "group_id", "row_id", "nombre")
+
+
+# --- graph ------------------------------------------------------------------------
+
+def _title_input(spark, sf_dir):
+    d = load_listings(spark, sf_dir)
+    return d.where(F.col("lat").isNotNull() & F.col("lng").isNotNull()).withColumn(
+        "title_norm", normalize_title("nombre"))
+
+
+@query
+def q_title_edges_levenshtein(spark, sf_dir):
+    return title_similarity_edges(_title_input(spark, sf_dir), metric="levenshtein") \
+        .select("src", "dst", F.round("similarity", 6).alias("similarity"))
+
+
+@query
+def q_title_similarity_edges(spark, sf_dir):
+    return title_similarity_edges(_title_input(spark, sf_dir)) \
+        .select("src", "dst", F.round("similarity", 6).alias("similarity"))
+
+
+@query
+def q_connected_components(spark, sf_dir):
+    t = _title_input(spark, sf_dir)
+    e = title_similarity_edges(t, metric="levenshtein")
+    return connected_components(e, t.select("row_id"))
+
+
+@query
+def q_cluster_seeded(spark, sf_dir):
+    t = _title_input(spark, sf_dir)
+    return cluster_seeded(t.select("row_id"), title_similarity_edges(t))
+
+
+# --- ordering, sets ------------------------------------------------------------------
+
+@query
+def q_add_row_id(spark, sf_dir):
+    """Dense 0-based position per platform in (licence, row_id) order."""
+    d = load_listings(spark, sf_dir).select("row_id", "plataforma", F.coalesce("licencia", F.lit("")).alias("lic"))
+    return ordr.add_row_id(d, ["lic", "row_id"], name="pos", partition_by="plataforma")
+
+
+@query
+def q_union_listings(spark, sf_dir):
+    d = load_listings(spark, sf_dir)
+    a = d.where(F.col("plataforma") == "airbnb").select("row_id", "nombre", "lat")
+    b = d.where(F.col("plataforma") == "booking").select("row_id", "nombre", "capacidad")
+    return ordr.union_listings(a, b)
+
+
+@query
+def q_distinct_listings(spark, sf_dir):
+    d = load_listings(spark, sf_dir)
+    return ordr.distinct_listings(d.select("property_id", "plataforma", "tipo", "habitaciones"))
+
+
+# --- composed flows (rows-only) ------------------------------------------------------
+
+@query
+def q_within_platform_dedup(spark, sf_dir):
+    return dedup.within_platform_dedup(load_listings(spark, sf_dir))
+
+
+@query
+def q_cross_platform_dedup(spark, sf_dir):
+    return dedup.cross_platform_dedup(dedup.within_platform_dedup(load_listings(spark, sf_dir)))

@@ -50,3 +50,185 @@ ORACLE["hostless_licence_coverage"] = _coverage(
 ORACLE["usable_coverage"] = _coverage(
     [("Total listings", "n", "100.0"), ("Listings with host + license", "n_usable", _share("n_usable", "n"))],
     f"count(*) AS n, count_if({present('anfitrion')} AND {present('licencia')}) AS n_usable")
+
+from .oracle import haversine  # noqa: E402
+
+EXCL_LETTERS = "('AG','AT','A','H','HA','HT','APM','PM','TI','HPM')"
+EXCL_TYPES = ("('Hotel','Apartahotel','Agroturismo','Hostal o pensión','Apartotel','Complejo turístico',"
+              "'Albergue','Resort','Suite','Aparthotel','Camping')")
+R_INDEX = 6371.0088
+
+ORACLE["holidu_cleanup"] = f"""WITH {LISTINGS}
+SELECT row_id, plataforma, anfitrion,
+       CASE WHEN plataforma = 'holidu' AND licencia = 'No proporcionado' THEN '' ELSE licencia END AS licencia
+FROM listings WHERE NOT (plataforma = 'holidu' AND coalesce(regexp_matches(anfitrion, 'Vrbo|Booking.com'), false))"""
+
+ORACLE["split_host_presence"] = f"""WITH {LISTINGS}
+SELECT plataforma, count(*) AS rows, 'usable' AS subset FROM listings WHERE {present('anfitrion')} AND {present('licencia')} GROUP BY plataforma
+UNION ALL
+SELECT plataforma, count(*) AS rows, 'no_host' AS subset FROM listings WHERE NOT {present('anfitrion')} GROUP BY plataforma"""
+
+ORACLE["class_filters"] = f"""WITH {LISTINGS},{licence_ctes('listings', 'lic')}
+SELECT row_id, _license_norm, licencia_letras, licencia_numeros, tipo FROM lic
+WHERE NOT (coalesce(licencia_letras IN {EXCL_LETTERS}, false) OR coalesce(contains(upper(licencia_letras), 'EDIFICI'), false))
+  AND NOT coalesce(tipo IN {EXCL_TYPES}, false) AND capacidad IS NOT NULL"""
+
+ORACLE["listing_projections"] = f"""WITH {LISTINGS},
+u AS (SELECT *, 'https://www.airbnb.es/rooms/' || CAST(property_id AS VARCHAR) || '?check_in=2025-07-01&adults=2' AS url,
+             regexp_extract(nombre, '^\\s*(\\S*)', 1) AS w FROM listings)
+SELECT row_id, 'https://www.booking.com/hotel/es/' || CAST(property_id AS VARCHAR) || '.es.html' AS booking_url,
+       'https://www.holidu.es/d/' || CAST(property_id AS VARCHAR) AS holidu_url,
+       split_part(url, '?', 1) AS clean_url, regexp_extract(split_part(url, '?', 1), '([^/]*)$', 1) AS listing_id,
+       CASE WHEN w = 'Casa' THEN 'Casa rural' WHEN w = 'Apto.' THEN 'Apartamento' ELSE w END AS derived_tipo,
+       '2025-06-25' AS fecha, 'Entire home/apt' AS alojamiento, {present('anfitrion')} AS host_present
+FROM u"""
+
+ORACLE["parse_result_count"] = f"""WITH {LISTINGS},
+c AS (SELECT plataforma, tipo, count(*) AS n FROM listings GROUP BY plataforma, tipo),
+h AS (SELECT *, CASE WHEN tipo = 'Hotel' THEN NULL WHEN tipo = 'Finca' THEN 'No hay coincidencias exactas'
+                     WHEN n > 1000 THEN 'Más de 1.000 alojamientos'
+                     ELSE replace(format('{{:,}}', n), ',', '.') || ' alojamientos' END AS heading FROM c)
+SELECT plataforma, tipo, n, heading,
+       CASE WHEN heading IS NULL THEN -1 WHEN contains(heading, 'Más de') THEN 1000
+            WHEN regexp_extract(heading, '(\\d[\\d.]*)', 1) <> '' THEN CAST(regexp_replace(regexp_extract(heading, '(\\d[\\d.]*)', 1), '[.\\s]', '', 'g') AS BIGINT)
+            ELSE 0 END AS parsed FROM h"""
+
+DEDUP_IN = f"""{LISTINGS},
+di0 AS (SELECT * FROM listings WHERE {present('plataforma')} AND {present('licencia')}),{licence_ctes('di0', 'di1')},
+di AS (SELECT *, {host_norm('plataforma')} AS _host_norm FROM di1),{grouping_ctes('di', 'pg', '_license_norm', '_host_norm', [], False, anchor='medoid')}"""
+
+ORACLE["fill_defaults"] = f"""WITH {DEDUP_IN}
+SELECT row_id, coalesce(anfitrion, 'host_desconocido') AS anfitrion, coalesce(tipo, 'tipo_desconocido') AS tipo,
+       coalesce(plataforma, 'platform_desconocido') AS plataforma, coalesce(habitaciones, -1) AS habitaciones,
+       coalesce(capacidad, -1) AS capacidad, coalesce(lat, 0.0) AS lat, coalesce(lng, 0.0) AS lng, group_id
+FROM pg WHERE NOT coalesce(contains(group_id, 'ANCH'), false)"""
+
+ORACLE["group_by_licence_platform"] = f"""WITH {DEDUP_IN}
+SELECT row_id, _license_norm, _host_norm, group_id FROM pg"""
+
+ORACLE["medoid_anchor"] = f"""WITH {DEDUP_IN}
+SELECT _license_norm, anchor_row FROM pg_med
+UNION ALL
+SELECT t._license_norm, t.dom_first AS anchor_row FROM pg_ks t JOIN pg_nul n ON t._license_norm = n._license_norm
+WHERE t.max_rep >= 2 AND n.has_null = 1"""
+
+ORACLE["host_counts"] = f"""WITH {HOSTED}
+SELECT plataforma, _license_norm, _host_norm, count(*) AS host_rows, min(row_id) AS first_row FROM hosted
+GROUP BY plataforma, _license_norm, _host_norm"""
+
+ISLANDS = """CASE WHEN lat BETWEEN 39.10129556224702 AND 40.17457797140084 AND lng BETWEEN 2.3739429649583883 AND 3.4572007960993005 THEN 'mallorca'
+  WHEN lat BETWEEN 39.73202837261271 AND 40.183968810121 AND lng BETWEEN 3.8166048322976565 AND 4.306760466171312 THEN 'menorca'
+  WHEN lat BETWEEN 38.76877967614272 AND 39.164966472991914 AND lng BETWEEN 1.19828131814009 AND 1.6218922749454237 THEN 'ibiza'
+  WHEN lat BETWEEN 38.579720345013094 AND 38.77151823526658 AND lng BETWEEN 1.3865663541037065 AND 1.5908027388515222 THEN 'formentera' END"""
+
+ORACLE["tag_island"] = f"WITH {LISTINGS} SELECT row_id, {ISLANDS} AS isla FROM listings"
+
+ORACLE["snapshot_counts"] = f"""WITH {LISTINGS}, t AS (SELECT *, {ISLANDS} AS isla FROM listings)
+SELECT plataforma, isla, count(*) AS rows, count_if(lat IS NULL OR lng IS NULL) AS no_coords FROM t GROUP BY plataforma, isla"""
+
+ORACLE["radius_join"] = f"""WITH {LISTINGS},
+p AS (SELECT * FROM listings WHERE lat IS NOT NULL AND lng IS NOT NULL AND capacidad IS NOT NULL AND habitaciones IS NOT NULL)
+SELECT a.row_id AS i, b.row_id AS j, round({haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)}, 6) AS km
+FROM p a JOIN p b ON a.plataforma = b.plataforma AND a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones
+ AND a.row_id < b.row_id AND abs(a.lat - b.lat) < 0.01
+WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 0.2"""
+
+ORACLE["radius_join_model"] = f"""WITH {LISTINGS},
+p AS (SELECT row_id, lat, lng, coalesce(capacidad, -1) AS capacidad, coalesce(habitaciones, -1) AS habitaciones
+      FROM listings WHERE lat IS NOT NULL AND lng IS NOT NULL)
+SELECT a.row_id AS i, b.row_id AS j, round({haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)}, 6) AS km
+FROM p a JOIN p b ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones
+ AND a.row_id < b.row_id AND abs(a.lat - b.lat) < 0.01
+WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 0.5"""
+
+MERGED = f"""{DEDUP_IN},
+mb AS (SELECT row_id, licencia_numeros, lat, lng FROM pg WHERE licencia_letras IS NULL AND licencia_numeros IS NOT NULL AND lat IS NOT NULL AND lng IS NOT NULL),
+ml AS (SELECT row_id AS j, licencia_numeros, lat, lng, group_id AS gj FROM pg WHERE licencia_letras IS NOT NULL AND licencia_numeros IS NOT NULL AND lat IS NOT NULL AND lng IS NOT NULL),
+mm AS (SELECT b.row_id AS i, arg_max(l.gj, l.j) AS gnew FROM mb b JOIN ml l ON b.licencia_numeros = l.licencia_numeros
+       WHERE {haversine('b.lat', 'b.lng', 'l.lat', 'l.lng')} <= 1.0 GROUP BY b.row_id),
+merged AS (SELECT pg.* REPLACE (coalesce(mm.gnew, pg.group_id) AS group_id) FROM pg LEFT JOIN mm ON pg.row_id = mm.i)"""
+
+ORACLE["merge_numeric_letter"] = f"""WITH {MERGED}
+SELECT row_id, licencia_letras, licencia_numeros, group_id FROM merged"""
+
+SPLIT = f"""{MERGED},
+sp AS (SELECT row_id, group_id, lat, lng FROM merged WHERE group_id IS NOT NULL AND lat IS NOT NULL AND lng IS NOT NULL),
+se AS (SELECT a.row_id AS u, b.row_id AS v FROM sp a JOIN sp b ON a.group_id = b.group_id AND a.row_id <> b.row_id
+       WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng')} <= 2.0),
+reach(node, lbl) AS (SELECT row_id, row_id FROM merged UNION SELECT se.v, r.lbl FROM reach r JOIN se ON se.u = r.node),
+comp AS (SELECT node AS row_id, min(lbl) AS component FROM reach GROUP BY node),
+lab AS (SELECT m.*, c.component FROM merged m JOIN comp c USING (row_id)),
+cl AS (SELECT group_id, component, row_number() OVER (PARTITION BY group_id ORDER BY component) AS n,
+              count(*) OVER (PARTITION BY group_id) AS k FROM (SELECT DISTINCT group_id, component FROM lab WHERE group_id IS NOT NULL)),
+split AS (SELECT l.* REPLACE (CASE WHEN cl.k > 1 THEN l.group_id || '_LOC' || CAST(cl.n AS VARCHAR) ELSE l.group_id END AS group_id)
+          FROM lab l LEFT JOIN cl ON l.group_id = cl.group_id AND l.component = cl.component)"""
+
+ORACLE["split_groups_by_distance"] = f"""WITH RECURSIVE {SPLIT}
+SELECT row_id, group_id FROM split"""
+
+NOHOST = f"""nh0 AS (SELECT * FROM listings WHERE anfitrion IS NULL),{licence_ctes('nh0', 'nh1')},
+nh AS (SELECT *, CAST(row_number() OVER (ORDER BY row_id) - 1 AS VARCHAR) || 'No_host' AS group_id, 'NA' AS _host_norm FROM nh1)"""
+
+ORACLE["hostless_groups"] = f"""WITH {LISTINGS},{NOHOST}
+SELECT row_id, group_id, _license_norm, _host_norm FROM nh"""
+
+ORACLE["drop_hostless_known"] = f"""WITH RECURSIVE {SPLIT},
+surv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY row_id) AS rn FROM split) WHERE rn = 1),{NOHOST}
+SELECT row_id, group_id, _license_norm, _host_norm FROM nh
+WHERE _license_norm NOT IN (SELECT _license_norm FROM surv WHERE _license_norm IS NOT NULL)"""
+
+ORACLE["coverage_gaps"] = f"""WITH {LISTINGS}
+SELECT row_id, plataforma FROM listings l WHERE NOT EXISTS (SELECT 1 FROM listings c WHERE c.lat IS NOT NULL AND c.row_id = l.row_id)"""
+
+ORACLE["group_licence_flags"] = f"""WITH {GROUPS},
+f AS (SELECT *, {present('licencia')} AS has_license FROM g)
+SELECT row_id, has_license, bool_or(has_license) OVER (PARTITION BY plataforma, group_id) AS group_has_license,
+       sum(CASE WHEN has_license THEN 0 ELSE 1 END) OVER (PARTITION BY plataforma, group_id) AS no_license_count FROM f"""
+
+PGROUP = f"""{LISTINGS}, pgi AS (SELECT *, 'P' || CAST(property_id AS VARCHAR) AS group_id, {present('licencia')} AS has_license FROM listings),
+pgf AS (SELECT *, bool_or(has_license) OVER (PARTITION BY plataforma, group_id) AS ghl,
+               sum(CASE WHEN has_license THEN 0 ELSE 1 END) OVER (PARTITION BY plataforma, group_id) AS nlc FROM pgi)"""
+
+ORACLE["drop_lone_unlicensed"] = f"""WITH {PGROUP}
+SELECT row_id, group_id FROM pgf WHERE NOT (NOT has_license AND ghl AND nlc = 1)"""
+
+ORACLE["unlicensed_survivors"] = f"""WITH {PGROUP},
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, group_id ORDER BY row_id) AS rn
+                     FROM pgi WHERE licencia IS NULL) WHERE rn = 1)
+SELECT row_id, plataforma, group_id || 'Na' AS group_id FROM u"""
+
+ORACLE["first_seen"] = f"""WITH {LISTINGS}
+SELECT plataforma, property_id, min(row_id) AS row_id FROM listings GROUP BY plataforma, property_id"""
+
+ORACLE["first_per_group"] = f"""WITH {GROUPS}
+SELECT plataforma, group_id, row_id, nombre FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, group_id ORDER BY row_id) AS rn FROM g) WHERE rn = 1"""
+
+TITLE_PAIRS = f"""{LISTINGS},
+tt AS (SELECT *, {title_norm('nombre')} AS title_norm FROM listings WHERE lat IS NOT NULL AND lng IS NOT NULL),
+tp AS (SELECT a.row_id AS src, b.row_id AS dst, a.title_norm AS ta, b.title_norm AS tb FROM tt a JOIN tt b
+       ON a.plataforma = b.plataforma AND a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones
+       AND a.row_id < b.row_id AND abs(a.lat - b.lat) < 0.01
+       WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 0.2),
+ts AS (SELECT src, dst, CASE WHEN greatest(length(ta), length(tb)) = 0 THEN 1.0
+                             ELSE 1.0 - levenshtein(ta, tb) / greatest(length(ta), length(tb)) END AS similarity FROM tp),
+te AS (SELECT * FROM ts WHERE similarity >= 0.7)"""
+
+ORACLE["title_edges_levenshtein"] = f"""WITH {TITLE_PAIRS}
+SELECT src, dst, round(similarity, 6) AS similarity FROM te"""
+
+ORACLE["connected_components"] = f"""WITH RECURSIVE {TITLE_PAIRS},
+ue AS (SELECT src AS u, dst AS v FROM te UNION ALL SELECT dst AS u, src AS v FROM te),
+reach(node, lbl) AS (SELECT row_id, row_id FROM tt UNION SELECT ue.v, r.lbl FROM reach r JOIN ue ON ue.u = r.node)
+SELECT node AS row_id, min(lbl) AS component FROM reach GROUP BY node"""
+
+ORACLE["add_row_id"] = f"""WITH {LISTINGS}
+SELECT row_id, plataforma, coalesce(licencia, '') AS lic,
+       row_number() OVER (PARTITION BY plataforma ORDER BY coalesce(licencia, ''), row_id) - 1 AS pos FROM listings"""
+
+ORACLE["union_listings"] = f"""WITH {LISTINGS}
+SELECT row_id, nombre, lat, NULL::INTEGER AS capacidad FROM listings WHERE plataforma = 'airbnb'
+UNION ALL
+SELECT row_id, nombre, NULL::DOUBLE AS lat, capacidad FROM listings WHERE plataforma = 'booking'"""
+
+ORACLE["distinct_listings"] = f"""WITH {LISTINGS}
+SELECT DISTINCT property_id, plataforma, tipo, habitaciones FROM listings"""

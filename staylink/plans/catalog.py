@@ -342,3 +342,53 @@ def q_within_platform_dedup(spark, sf_dir):
 @query
 def q_cross_platform_dedup(spark, sf_dir):
     return dedup.cross_platform_dedup(dedup.within_platform_dedup(load_listings(spark, sf_dir)))
+
+
+# --- payloads and pages ----------------------------------------------------------
+
+from ..sources import derived as dv  # noqa: E402
+from ..sources import pages as pg  # noqa: E402
+from ..sources import payloads as pl  # noqa: E402
+
+
+def _first_capture(df: DataFrame, key: str) -> DataFrame:
+    """first_seen over (payload, position): a listing met in several payloads
+    keeps its first capture."""
+    return grp.first_per_group(df.withColumn("_ord", F.struct("payload_id", "pos")), key, order="_ord").drop("_ord")
+
+
+@query
+def q_flatten_booking(spark, sf_dir):
+    f = pl.flatten_booking(dv.booking_payloads(load_listings(spark, sf_dir)))
+    return _first_capture(f, "name").select("name", "lat", "lng", "DisplayName")
+
+
+@query
+def q_flatten_holidu(spark, sf_dir):
+    f = pl.flatten_holidu(dv.holidu_payloads(load_listings(spark, sf_dir)))
+    return _first_capture(f, "id").select("id", "lat", "lng", "nombre", "habitaciones", "capacidad", "tipo")
+
+
+@query
+def q_flatten_vrbo(spark, sf_dir):
+    """Marker join + parse_vrbo_heading + first_seen."""
+    f = pl.flatten_vrbo(dv.vrbo_payloads(load_listings(spark, sf_dir)))
+    return _first_capture(f, "id").select("id", "lat", "lng", "url", "nombre", "tipo", "capacidad", "habitaciones")
+
+
+@query
+def q_flatten_airbnb_detail(spark, sf_dir):
+    """First non-null section fields, parse_airbnb_title, registration and host."""
+    return pl.flatten_airbnb_detail(dv.airbnb_payloads(load_listings(spark, sf_dir)))
+
+
+@query
+def q_extract_page_attributes(spark, sf_dir):
+    """booking_capacity, booking_rooms, extract_licence, extract_type and
+    extract_host over every listing page."""
+    return pg.extract_page_attributes(dv.listing_pages(load_listings(spark, sf_dir)))
+
+
+@query
+def q_extract_listing_cards(spark, sf_dir):
+    return pg.extract_listing_cards(dv.search_pages(load_listings(spark, sf_dir)))

@@ -51,7 +51,7 @@ ORACLE["usable_coverage"] = _coverage(
     [("Total listings", "n", "100.0"), ("Listings with host + license", "n_usable", _share("n_usable", "n"))],
     f"count(*) AS n, count_if({present('anfitrion')} AND {present('licencia')}) AS n_usable")
 
-from .oracle import haversine  # noqa: E402
+from .oracle import haversine, strip  # noqa: E402
 
 EXCL_LETTERS = "('AG','AT','A','H','HA','HT','APM','PM','TI','HPM')"
 EXCL_TYPES = ("('Hotel','Apartahotel','Agroturismo','Hostal o pensión','Apartotel','Complejo turístico',"
@@ -232,3 +232,87 @@ SELECT row_id, nombre, NULL::DOUBLE AS lat, capacidad FROM listings WHERE plataf
 
 ORACLE["distinct_listings"] = f"""WITH {LISTINGS}
 SELECT DISTINCT property_id, plataforma, tipo, habitaciones FROM listings"""
+
+
+def first_by_property(cond: str) -> str:
+    return (f"fp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY property_id ORDER BY row_id) AS rn "
+            f"FROM listings WHERE {cond}) WHERE rn = 1)")
+
+
+ORACLE["flatten_booking"] = f"""WITH {LISTINGS}, {first_by_property("plataforma = 'booking' AND lat IS NOT NULL")}
+SELECT 'bk' || CAST(property_id AS VARCHAR) AS name, lat, lng,
+       CASE WHEN anfitrion IS NULL THEN NULL ELSE nombre END AS DisplayName FROM fp"""
+
+ORACLE["flatten_holidu"] = f"""WITH {LISTINGS}, {first_by_property("plataforma = 'holidu' AND lat IS NOT NULL")}
+SELECT 'h' || CAST(property_id AS VARCHAR) AS id, lat, lng, nombre, habitaciones, capacidad, tipo FROM fp"""
+
+ORACLE["flatten_vrbo"] = f"""WITH {LISTINGS}, fp AS (SELECT * FROM listings WHERE plataforma = 'vrbo' AND lat IS NOT NULL)
+SELECT 'v' || CAST(row_id AS VARCHAR) AS id, lat, lng,
+       'https://www.vrbo.com/es-es/p' || CAST(property_id AS VARCHAR) || '?dateless=true' AS url,
+       nombre, tipo, capacidad, habitaciones FROM fp"""
+
+RX_REG = r"(?i)Registration Details\s*(?:</b>)?(?:<br\s*/?>)*\s*([A-Za-z0-9./: _,\\-]+)"
+
+
+def _grp(t: str, rx: str) -> str:
+    return f"CASE WHEN regexp_matches({t}, '{rx}') THEN {strip(f'regexp_extract({t}, {chr(39)}{rx}{chr(39)}, 1)')} END"
+
+
+ORACLE["flatten_airbnb_detail"] = f"""WITH {LISTINGS},
+a AS (SELECT *, '<p>Contacto</p><b>Registration Details</b><br/>' || coalesce(licencia, '') AS h FROM listings WHERE plataforma = 'airbnb')
+SELECT row_id AS payload_id, lat, lng, capacidad, habitaciones, 1 AS banos, nombre AS titulo,
+       {_grp('h', RX_REG)} AS licencia,
+       CASE WHEN anfitrion IS NULL THEN NULL WHEN starts_with(anfitrion, 'HOST') THEN {strip('anfitrion')} ELSE anfitrion END AS anfitrion
+FROM a"""
+
+RX_ADULTS = r'aria-label="(\d+)\s+adultos?(?:,\s*(\d+)\s+niños?)?'
+_T = "page_text"
+_H = "page_html"
+PAGES = f"""pgs AS (SELECT row_id AS listing_id, plataforma,
+  CASE plataforma
+   WHEN 'booking' THEN 'Número de licencia: ' || coalesce(licencia, '') || chr(10) || 'Ofertas en Mallorca (' || coalesce(tipo, '') || ')'
+        || chr(10) || 'Dormitorio ' || coalesce(CAST(habitaciones AS VARCHAR), '') || chr(10) || 'Cama doble'
+   WHEN 'holidu' THEN CASE WHEN anfitrion = 'Vrbo' THEN 'Gestionado por Holidu'
+        ELSE 'Nuestro socio verificado ' || coalesce(anfitrion, '') || ' gestionará tu reserva' END
+        || chr(10) || 'Número de licencia: ' || coalesce(licencia, '')
+   WHEN 'vrbo' THEN 'Propietario/a: ' || coalesce(anfitrion, '') || chr(10) || 'Número de registro de la propiedad ' || coalesce(licencia, '')
+   ELSE '' END AS page_text FROM listings),
+pgh AS (SELECT p.*, l.capacidad, l.habitaciones, l.anfitrion, l.licencia, CASE p.plataforma
+   WHEN 'booking' THEN CASE WHEN l.capacidad IS NOT NULL THEN '<div aria-label="' || CAST(l.capacidad AS VARCHAR) || ' adultos'
+        || CASE WHEN l.habitaciones > 2 THEN ', ' || CAST(l.habitaciones - 2 AS VARCHAR) || ' niños' ELSE '' END || '"></div>' ELSE '' END
+        || CASE WHEN l.anfitrion IS NOT NULL THEN '{{"__typename":"HotelierInfo","name":"' || l.anfitrion || '"}}' ELSE '' END
+   WHEN 'airbnb' THEN '<p>Contacto</p><b>Registration Details</b><br/>' || coalesce(l.licencia, '') || chr(10) || '{{"title":"Host: ' || coalesce(l.anfitrion, '') || '"}}'
+   ELSE '<html>' || p.page_text || '</html>' END AS page_html
+  FROM pgs p JOIN listings l ON p.listing_id = l.row_id),
+ext AS (SELECT listing_id, plataforma, page_text, page_html,
+  len(regexp_extract_all(page_html, '{RX_ADULTS}', 0)) = 1 AS one,
+  list_transform(regexp_extract_all(page_text, '(?i)dormitorio\\s*(\\d)', 1), lambda x: CAST(x AS INTEGER)) AS dorms,
+  coalesce(CASE WHEN regexp_matches(page_html, '"HotelierInfo","name"\\s*:\\s*"([^"]+)"') THEN regexp_extract(page_html, '"HotelierInfo","name"\\s*:\\s*"([^"]+)"', 1) END,
+           {_grp(_H, r'(?mi)^\s*(.+?)\s*$\r?\n\s*Marca/cadena de hotel\b')},
+           {_grp(_H, r'(?mi)^\s*Datos de la empresa\s*\n\s*([^\n\r]+)')}) AS bhost
+  FROM pgh)"""
+
+ORACLE["extract_page_attributes"] = f"""WITH {LISTINGS}, {PAGES}
+SELECT listing_id,
+  CASE WHEN plataforma = 'booking' AND one AND len(dorms) > 0 THEN list_max(dorms) END AS habitaciones,
+  CASE WHEN plataforma = 'booking' AND one THEN CAST(regexp_extract(page_html, '{RX_ADULTS}', 1) AS INTEGER) END AS capacidad,
+  CASE WHEN plataforma = 'booking' AND one THEN coalesce(CAST(nullif(regexp_extract(page_html, '{RX_ADULTS}', 2), '') AS INTEGER), 0) END AS ninos,
+  CASE WHEN plataforma IN ('booking', 'holidu') THEN {_grp(_T, r'(?i)Número de licencia:\s*([^\n<]+)')}
+       WHEN plataforma = 'vrbo' THEN coalesce({_grp(_T, r'(?i)Número de registro de la propiedad\s*([^\n<]+)')},
+                                              {_grp(_T, r'(?i)Licencia turística:\s*([^\n<]+)')})
+       WHEN plataforma = 'airbnb' THEN {_grp(_H, RX_REG)} END AS licencia,
+  CASE WHEN plataforma = 'booking' AND regexp_matches(page_text, '(?i)Ofertas en .*?\\(([^)]+)\\)')
+       THEN regexp_extract(page_text, '(?i)Ofertas en .*?\\(([^)]+)\\)', 1) END AS tipo,
+  CASE WHEN plataforma = 'booking' THEN CASE WHEN length(bhost) <= 1000 THEN bhost END
+       WHEN plataforma = 'holidu' THEN CASE WHEN regexp_matches(page_text, 'Gestionado por Holidu') THEN 'Holidu'
+            ELSE {_grp(_T, r'(?i)Nuestro socio verificado\s+(.+?)\s+gestionará tu reserva')} END
+       WHEN plataforma = 'vrbo' THEN {_grp(_T, r'(?i)Propietario/a:\s*([^\n<]+)')}
+       WHEN plataforma = 'airbnb' THEN {_grp(_H, r'"title"\s*:\s*"(?i:[^"]*?\b(?:Anfitri[oó]n|Host)\b\s*:\s*)([^"]+)"')} END AS anfitrion
+FROM ext"""
+
+ORACLE["extract_listing_cards"] = f"""WITH {LISTINGS},
+a AS (SELECT *, CAST(floor(row_id / 72) AS BIGINT) AS page_id FROM listings WHERE plataforma = 'airbnb'),
+c AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY row_id) AS card_pos FROM a)
+SELECT page_id, card_pos, nombre AS Nombre, '/rooms/' || CAST(property_id AS VARCHAR) || '?adults=2' AS url,
+       CAST(capacidad * 35 AS VARCHAR) || ' € noche' AS Precio, '1–7 jul' AS Fechas
+FROM c WHERE capacidad IS NOT NULL"""

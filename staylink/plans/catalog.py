@@ -392,3 +392,25 @@ def q_extract_page_attributes(spark, sf_dir):
 @query
 def q_extract_listing_cards(spark, sf_dir):
     return pg.extract_listing_cards(dv.search_pages(load_listings(spark, sf_dir)))
+
+
+# --- tiling ----------------------------------------------------------------------
+
+from ..operators import tiles as tl  # noqa: E402
+
+
+@query
+def q_adaptive_tiles(spark, sf_dir):
+    """Booking rule (count < 100 and != 30, 0.002 degree minimum) over the four boxes."""
+    return tl.adaptive_tiles(load_listings(spark, sf_dir), leaf_rule="booking")
+
+
+@query
+def q_assign_tile(spark, sf_dir):
+    return tl.assign_tile(load_listings(spark, sf_dir), leaf_rule="holidu")
+
+
+@query
+def q_page_plan(spark, sf_dir):
+    """Airbnb rule (<= 270, no minimum size, depth cap 7) -> pages of 18."""
+    return tl.page_plan(tl.adaptive_tiles(load_listings(spark, sf_dir), leaf_rule="airbnb", max_depth=7))

@@ -316,3 +316,59 @@ c AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY row_id) AS card
 SELECT page_id, card_pos, nombre AS Nombre, '/rooms/' || CAST(property_id AS VARCHAR) || '?adults=2' AS url,
        CAST(capacidad * 35 AS VARCHAR) || ' € noche' AS Precio, '1–7 jul' AS Fechas
 FROM c WHERE capacidad IS NOT NULL"""
+
+BOXES_SQL = """bx(isla, box_lat0, box_lng0, box_lat1, box_lng1) AS (VALUES
+ ('mallorca', 39.10129556224702, 2.3739429649583883, 40.17457797140084, 3.4572007960993005),
+ ('menorca', 39.73202837261271, 3.8166048322976565, 40.183968810121, 4.306760466171312),
+ ('ibiza', 38.76877967614272, 1.19828131814009, 39.164966472991914, 1.6218922749454237),
+ ('formentera', 38.579720345013094, 1.3865663541037065, 38.77151823526658, 1.5908027388515222))"""
+
+
+def tiles_ctes(rule: str, min_deg, D: int) -> str:
+    side = 1 << D
+    small = f"depth >= {D}"
+    if min_deg is not None:
+        small += (f" OR (box_lat1 - box_lat0) / pow(2.0, depth) <= {min_deg}"
+                  f" OR (box_lng1 - box_lng0) / pow(2.0, depth) <= {min_deg}")
+    return f"""{BOXES_SQL},
+tp AS (SELECT l.*, {ISLANDS} AS isla FROM listings l WHERE lat IS NOT NULL AND lng IS NOT NULL),
+tc AS (SELECT t.row_id, t.isla, least(CAST(floor((lng - box_lng0) / (box_lng1 - box_lng0) * {side}) AS BIGINT), {side - 1}) AS ix,
+              least(CAST(floor((lat - box_lat0) / (box_lat1 - box_lat0) * {side}) AS BIGINT), {side - 1}) AS iy
+       FROM tp t JOIN bx USING (isla)),
+cells AS (SELECT isla, ix, iy, count(*) AS n FROM tc GROUP BY ALL),
+ex AS (SELECT isla, ix, iy, n, d.depth, ix >> ({D} - d.depth) AS tx, iy >> ({D} - d.depth) AS ty
+       FROM cells, (SELECT range AS depth FROM range(0, {D + 1})) d),
+tn AS (SELECT isla, depth, tx, ty, sum(n) AS n FROM ex GROUP BY ALL),
+st AS (SELECT tn.*, bx.box_lat0, bx.box_lng0, bx.box_lat1, bx.box_lng1,
+              CASE WHEN n = 0 THEN 'empty' WHEN {rule} THEN 'leaf' WHEN {small} THEN 'ignored' ELSE 'split' END AS status
+       FROM tn JOIN bx USING (isla)),
+stp AS (SELECT ex.isla, ex.ix, ex.iy, min(CASE WHEN st.status <> 'split' THEN ex.depth END) AS stop_depth
+        FROM ex JOIN st USING (isla, depth, tx, ty) GROUP BY ALL),
+vis AS (SELECT st.* FROM st JOIN (SELECT DISTINCT ex.isla, ex.depth, ex.tx, ex.ty FROM ex JOIN stp USING (isla, ix, iy)
+        WHERE ex.depth <= stp.stop_depth) v USING (isla, depth, tx, ty)),
+kids AS (SELECT v.isla, v.depth + 1 AS depth, v.tx * 2 + k.dx AS tx, v.ty * 2 + k.dy AS ty
+         FROM vis v, (VALUES (0, 0), (1, 0), (0, 1), (1, 1)) k(dx, dy) WHERE v.status = 'split'),
+emp AS (SELECT k.isla, k.depth, k.tx, k.ty, 0::BIGINT AS n, bx.box_lat0, bx.box_lng0, bx.box_lat1, bx.box_lng1, 'empty' AS status
+        FROM kids k JOIN bx USING (isla) WHERE NOT EXISTS (SELECT 1 FROM tn WHERE tn.isla = k.isla AND tn.depth = k.depth
+        AND tn.tx = k.tx AND tn.ty = k.ty)),
+alltiles AS (SELECT * FROM vis UNION ALL SELECT * FROM emp),
+tiles AS (SELECT isla || '/' || CAST(depth AS VARCHAR) || '/' || CAST(tx AS VARCHAR) || '/' || CAST(ty AS VARCHAR) AS tile,
+          isla, depth, tx, ty, box_lat0 + ty * ((box_lat1 - box_lat0) / pow(2.0, depth)) AS lat_min,
+          box_lng0 + tx * ((box_lng1 - box_lng0) / pow(2.0, depth)) AS lng_min,
+          box_lat0 + (ty + 1) * ((box_lat1 - box_lat0) / pow(2.0, depth)) AS lat_max,
+          box_lng0 + (tx + 1) * ((box_lng1 - box_lng0) / pow(2.0, depth)) AS lng_max, n, status FROM alltiles)"""
+
+
+ORACLE["adaptive_tiles"] = f"""WITH {LISTINGS}, {tiles_ctes("n < 100 AND n <> 30", 0.002, 10)}
+SELECT * FROM tiles"""
+
+ORACLE["assign_tile"] = f"""WITH {LISTINGS}, {tiles_ctes("n <= 30", 0.002, 10)}
+SELECT tc.row_id, tc.isla || '/' || CAST(stp.stop_depth AS VARCHAR) || '/' || CAST(tc.ix >> (10 - stp.stop_depth) AS VARCHAR)
+       || '/' || CAST(tc.iy >> (10 - stp.stop_depth) AS VARCHAR) AS tile, st.status
+FROM tc JOIN stp USING (isla, ix, iy)
+JOIN st ON st.isla = tc.isla AND st.depth = stp.stop_depth AND st.tx = tc.ix >> (10 - stp.stop_depth) AND st.ty = tc.iy >> (10 - stp.stop_depth)"""
+
+ORACLE["page_plan"] = f"""WITH {LISTINGS}, {tiles_ctes("n <= 270", None, 7)}
+SELECT tile, n, p.page, p.page * 18 AS item_offset
+FROM tiles, LATERAL (SELECT range::INTEGER AS page FROM range(0, CAST(floor(n / 18) AS BIGINT) + 1)) p
+WHERE status = 'leaf' AND n >= 1 AND n <= 270"""

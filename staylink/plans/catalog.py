@@ -414,3 +414,85 @@ def q_assign_tile(spark, sf_dir):
 def q_page_plan(spark, sf_dir):
     """Airbnb rule (<= 270, no minimum size, depth cap 7) -> pages of 18."""
     return tl.page_plan(tl.adaptive_tiles(load_listings(spark, sf_dir), leaf_rule="airbnb", max_depth=7))
+
+
+# --- features, pairs, matcher ------------------------------------------------------
+
+from ..operators import features as ft  # noqa: E402
+from ..operators import pairs as pr  # noqa: E402
+from ..operators.matching import score_pairs, train_pair_scorer  # noqa: E402
+from ..operators.similarity import model_similarity_edges  # noqa: E402
+
+
+def training_rows(spark, sf_dir):
+    """Licensed rows grouped by licence/platform, split by distance, anchored
+    groups excluded, defaults filled: the matcher's weak labels."""
+    g = sv.split_groups_by_distance(jn.merge_numeric_letter(platform_groups(spark, sf_dir)), 2.0)
+    return flt.fill_defaults(flt.exclude_anchored(g))
+
+
+@query
+def q_encode_categories(spark, sf_dir):
+    d = flt.fill_defaults(load_listings(spark, sf_dir))
+    out, _ = ft.encode_categories(d, ["plataforma", "tipo", "anfitrion"])
+    return out.select("row_id", "plataforma_id", "tipo_id", "anfitrion_id")
+
+
+@query
+def q_scale_minmax(spark, sf_dir):
+    d = load_listings(spark, sf_dir)
+    out, _ = ft.scale_minmax(d, ["capacidad", "habitaciones", "lat", "lng"],
+                             ["cap_scaled", "hab_scaled", "lat_scaled", "lon_scaled"])
+    return out.select("row_id", *[F.round(c, 9).alias(c) for c in ("cap_scaled", "hab_scaled", "lat_scaled",
+                                                                    "lon_scaled")])
+
+
+@query
+def q_map_unknown_category(spark, sf_dir):
+    """Types fitted on the Airbnb rows; every other platform's unseen types
+    map to the unknown token."""
+    d = flt.fill_defaults(load_listings(spark, sf_dir))
+    classes = d.where(F.col("plataforma") == "airbnb").where(F.col("tipo") != "Hotel").select("tipo").distinct()
+    return ft.map_unknown_category(d, "tipo", classes, flt.UNKNOWN_TYPE).select("row_id", "tipo")
+
+
+@query
+def q_model_similarity_edges(spark, sf_dir):
+    """500 m, equal filled capacity/rooms, cosine >= 0.8 of the rows' vectors
+    (the driver's embeddings, joined on vec_id = row_id)."""
+    from ..sources.tables import read_table
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
+    d = load_listings(spark, sf_dir).na.fill({"capacidad": -1, "habitaciones": -1}).join(emb, "row_id")
+    e = model_similarity_edges(d, "embedding", radius_m=500.0, threshold=0.8)
+    return e.select("src", "dst", F.round("similarity", 6).alias("similarity"))
+
+
+@query
+def q_positive_pairs(spark, sf_dir):
+    return pr.positive_pairs(training_rows(spark, sf_dir))
+
+
+@query
+def q_pair_counts(spark, sf_dir):
+    return q.pair_counts(pr.positive_pairs(training_rows(spark, sf_dir)))
+
+
+@query
+def q_training_pairs(spark, sf_dir):
+    return pr.training_pairs(training_rows(spark, sf_dir))
+
+
+@query
+def q_pair_scorer_metrics(spark, sf_dir):
+    """Features -> training pairs -> group split -> logistic scorer ->
+    precision / recall / F1 on validation at 0.75."""
+    rows = training_rows(spark, sf_dir)
+    enc, _ = ft.encode_categories(rows, ["plataforma", "tipo", "anfitrion"])
+    enc = enc.withColumnRenamed("plataforma_id", "plat_id").withColumnRenamed("anfitrion_id", "host_id")
+    enc, _ = ft.scale_minmax(enc, ["capacidad", "habitaciones", "lat", "lng"],
+                             ["cap_scaled", "hab_scaled", "lat_scaled", "lon_scaled"])
+    feats = ft.assemble_features(ft.embed_titles(enc))
+    pairs = pr.training_pairs(rows)
+    train, val = pr.group_split(pairs, rows)
+    model = train_pair_scorer(train, feats)
+    return q.pair_metrics(score_pairs(model, val, feats), 0.75)

@@ -372,3 +372,46 @@ ORACLE["page_plan"] = f"""WITH {LISTINGS}, {tiles_ctes("n <= 270", None, 7)}
 SELECT tile, n, p.page, p.page * 18 AS item_offset
 FROM tiles, LATERAL (SELECT range::INTEGER AS page FROM range(0, CAST(floor(n / 18) AS BIGINT) + 1)) p
 WHERE status = 'leaf' AND n >= 1 AND n <= 270"""
+
+ORACLE["encode_categories"] = f"""WITH {LISTINGS},
+d AS (SELECT row_id, coalesce(plataforma, 'platform_desconocido') AS plataforma, coalesce(tipo, 'tipo_desconocido') AS tipo,
+             coalesce(anfitrion, 'host_desconocido') AS anfitrion FROM listings)
+SELECT row_id, dense_rank() OVER (ORDER BY plataforma) - 1 AS plataforma_id, dense_rank() OVER (ORDER BY tipo) - 1 AS tipo_id,
+       dense_rank() OVER (ORDER BY anfitrion) - 1 AS anfitrion_id FROM d"""
+
+
+def _mm(c, o):
+    return (f"round(CASE WHEN {c} IS NULL THEN NULL WHEN max({c}) OVER () = min({c}) OVER () THEN 0.0 "
+            f"ELSE (CAST({c} AS DOUBLE) - min({c}) OVER ()) / (max({c}) OVER () - min({c}) OVER ()) END, 9) AS {o}")
+
+
+ORACLE["scale_minmax"] = f"""WITH {LISTINGS}
+SELECT row_id, {_mm('capacidad', 'cap_scaled')}, {_mm('habitaciones', 'hab_scaled')}, {_mm('lat', 'lat_scaled')},
+       {_mm('lng', 'lon_scaled')} FROM listings"""
+
+ORACLE["map_unknown_category"] = f"""WITH {LISTINGS},
+d AS (SELECT row_id, plataforma, coalesce(tipo, 'tipo_desconocido') AS tipo FROM listings),
+k AS (SELECT DISTINCT tipo FROM d WHERE plataforma = 'airbnb' AND tipo <> 'Hotel')
+SELECT row_id, CASE WHEN tipo IN (SELECT tipo FROM k) THEN tipo ELSE 'tipo_desconocido' END AS tipo FROM d"""
+
+ORACLE["model_similarity_edges"] = f"""WITH {LISTINGS},
+e AS (SELECT l.row_id, l.lat, l.lng, coalesce(l.capacidad, -1) AS capacidad, coalesce(l.habitaciones, -1) AS habitaciones,
+             CAST(m.embedding AS DOUBLE[]) AS v FROM listings l JOIN embeddings m ON m.vec_id = l.row_id
+      WHERE l.lat IS NOT NULL AND l.lng IS NOT NULL),
+p AS (SELECT a.row_id AS src, b.row_id AS dst,
+             list_sum(list_transform(list_zip(a.v, b.v), lambda t: t[1] * t[2])) /
+             (sqrt(list_sum(list_transform(a.v, lambda x: x * x))) * sqrt(list_sum(list_transform(b.v, lambda x: x * x)))) AS similarity
+      FROM e a JOIN e b ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AND a.row_id < b.row_id
+      WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 0.5)
+SELECT src, dst, round(similarity, 6) AS similarity FROM p WHERE similarity >= 0.8"""
+
+POSITIVES = f"""{SPLIT},
+tr AS (SELECT * FROM split WHERE NOT coalesce(contains(group_id, 'ANCH'), false) AND group_id IS NOT NULL),
+rk AS (SELECT row_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY md5('42|' || CAST(row_id AS VARCHAR)), row_id) AS rn FROM tr),
+pp AS (SELECT a.group_id, a.row_id AS i, b.row_id AS j FROM rk a JOIN rk b ON a.group_id = b.group_id AND a.row_id < b.row_id
+       WHERE a.rn <= 5 AND b.rn <= 5),
+pq AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY md5('42|' || CAST(i AS VARCHAR) || '|' || CAST(j AS VARCHAR))) AS pr FROM pp),
+pos AS (SELECT i, j, 1 AS label FROM pq WHERE pr <= 10)"""
+
+ORACLE["positive_pairs"] = f"WITH RECURSIVE {POSITIVES} SELECT * FROM pos"
+ORACLE["pair_counts"] = f"WITH RECURSIVE {POSITIVES} SELECT count(*) AS pairs, CAST(sum(label) AS BIGINT) AS positives FROM pos"

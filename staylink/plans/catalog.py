@@ -496,3 +496,23 @@ def q_pair_scorer_metrics(spark, sf_dir):
     train, val = pr.group_split(pairs, rows)
     model = train_pair_scorer(train, feats)
     return q.pair_metrics(score_pairs(model, val, feats), 0.75)
+
+
+# --- sources ----------------------------------------------------------------------
+
+from ..sources.csv_io import CONFORM, conform_listings  # noqa: E402
+
+
+@query
+def q_conform_listings(spark, sf_dir):
+    """Each platform's rows rendered in its collector's column names, then
+    conformed back to the canonical schema."""
+    d = load_listings(spark, sf_dir)
+    parts = []
+    for platform, mapping in CONFORM.items():
+        inv = {dst: src for src, dst in mapping.items()}
+        base = d.where(F.col("plataforma") == platform).withColumn("listing_id", F.col("property_id").cast("string"))
+        raw = base.select("row_id", *[F.col(dst).alias(src) for dst, src in inv.items() if dst in base.columns])
+        parts.append(conform_listings(raw, platform))
+    return ordr.union_listings(*parts).select("row_id", "plataforma", "listing_id", "nombre", "tipo", "lat", "lng",
+                                              "capacidad", "habitaciones", "licencia", "anfitrion")

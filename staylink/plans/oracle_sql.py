@@ -415,3 +415,7 @@ pos AS (SELECT i, j, 1 AS label FROM pq WHERE pr <= 10)"""
 
 ORACLE["positive_pairs"] = f"WITH RECURSIVE {POSITIVES} SELECT * FROM pos"
 ORACLE["pair_counts"] = f"WITH RECURSIVE {POSITIVES} SELECT count(*) AS pairs, CAST(sum(label) AS BIGINT) AS positives FROM pos"
+
+ORACLE["conform_listings"] = f"""WITH {LISTINGS}
+SELECT row_id, plataforma, CASE WHEN plataforma = 'airbnb' THEN NULL ELSE CAST(property_id AS VARCHAR) END AS listing_id,
+       nombre, tipo, lat, lng, capacidad, habitaciones, licencia, anfitrion FROM listings"""

@@ -44,10 +44,12 @@ def connected_components(edges: DataFrame, vertices: "DataFrame | None" = None,
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where(F.col("u") != F.col("v"))
     e = cut_lineage(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    n_e = e.count()
     for _ in range(max_rounds):
         nxt = cut_lineage(_small_star(_large_star(e)))
-        same = (nxt.count() == e.count()) and nxt.join(e, ["u", "v"], "left_anti").isEmpty()
-        e = nxt
+        n_nxt = nxt.count()
+        same = n_nxt == n_e and (n_e == 0 or nxt.join(e, ["u", "v"], "left_anti").isEmpty())
+        e, n_e = nxt, n_nxt
         if same:
             break
     else:

@@ -22,8 +22,8 @@ of the following segment.  That is exact: with one segment equal, H others are
 left for at most H differences, so another agrees wholly or all differ in just
 one element, the following segment too.
 
-Verification intersects the two sets; sets are recomputed from the texts of the
-candidates only, so no full set of any other document is kept.  Links become
+Verification intersects the two sets, recomputed from the texts; only texts of
+candidates are shuffled (a bitmap of fixed size picks them).  Links become
 components by star contraction in Spark.
 
 Defined results: null, empty and word-less texts have an empty set and link with
@@ -50,6 +50,8 @@ WORDS, PERCENT = 3, 90
 BAND = 1.6
 #: Members from which a signature is refined instead of paired.
 HOT = 300
+#: Size of the bitmap that picks the candidates' texts (2 MB).
+BITS = 1 << 24
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -136,18 +138,52 @@ def _long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def sets(words: int = WORDS):
-    """A column function: text -> the sorted shingle hashes as bytes."""
+def overlaps(words: int = WORDS):
+    """A column function: two texts -> (common, n_a, n_b) of their sets."""
 
-    @F.arrow_udf("binary")
-    def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        hashes = WordHash()
-        for texts in parts:
-            yield pa.array([shingles(b, hashes, words).tobytes() for b in bytes_of(texts)], pa.binary())
+    @F.arrow_udf("struct<common: bigint, n_a: bigint, n_b: bigint>")
+    def of(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        hashes, seen = WordHash(), {}
+
+        def of_text(b: bytes) -> np.ndarray:
+            if b not in seen:
+                if len(seen) >= 64:  # the centre of a star comes again and again
+                    seen.clear()
+                seen[b] = shingles(b, hashes, words)
+            return seen[b]
+
+        for left, right in parts:
+            out = []
+            for a, b in zip(bytes_of(left), bytes_of(right)):
+                x, y = of_text(a), of_text(b)
+                small, large = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.minimum(np.searchsorted(large, small), max(0, len(large) - 1))
+                out.append((int((large[at] == small).sum()) if len(small) else 0, len(x), len(y)))
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["common", "n_a", "n_b"])
 
     return of
 
 
+def among(ids: DataFrame):
+    """A column function: doc_id -> whether it may be in ``ids`` (a column
+    ``id``).  A bitmap of ``BITS`` bits, however many ids there are: false
+    alarms cost work, nothing is missed."""
+    bits = ids.select(F.pmod(F.xxhash64("id"), F.lit(BITS)).alias("bit"))
+    words = bits.selectExpr("bit div 64 AS w", "shiftleft(1L, cast(bit % 64 AS int)) AS b").groupBy("w").agg(F.bit_or("b").alias("b")).collect()  # at most BITS / 64 numbers
+    bitmap = np.zeros(BITS // 64, np.int64)
+    for w, b in words:
+        bitmap[w] = b
+    held = bitmap.view(np.uint8)
+
+    @F.arrow_udf("boolean")
+    def of(hashes: pa.Array) -> pa.Array:
+        h = np.mod(hashes.to_numpy(zero_copy_only=False), BITS)
+        return pa.array((held[h >> 3] >> (h & 7).astype(np.uint8)) & 1 > 0)
+
+    return of(F.xxhash64("doc_id"))
+
+
 def indexes(words: int = WORDS, percent: int = PERCENT):
     """A column function: text -> (n, fp1, fp2, sigs)."""
 
@@ -169,30 +205,16 @@ def indexes(words: int = WORDS, percent: int = PERCENT):
     return of
 
 
-def _common(a: pa.Array, b: pa.Array) -> pa.Array:
-    out = []
-    for x, y in zip(a.to_pylist(), b.to_pylist()):
-        x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-        if len(x) > len(y):
-            x, y = y, x
-        at = np.searchsorted(y, x)
-        out.append(int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(x) else 0)
-    return pa.array(out, pa.int64())
-
-
-def verified(pairs: DataFrame, classes: DataFrame, documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(a, b, common, n_a, n_b) for the distinct pairs (a < b) of classes."""
+def verified(pairs: DataFrame, documents: DataFrame, words: int = WORDS) -> DataFrame:
+    """(a, b, common, n_a, n_b) for the distinct pairs of classes.  Only the
+    candidates' texts are shuffled."""
     pairs = stored(pairs.distinct(), "pairs")
-    wanted = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    texts = documents.join(wanted, documents["doc_id"] == wanted["cls"], "left_semi").select("doc_id", "text")
-    found = texts.select("doc_id", sets(words)(F.col("text")).alias("s"))
-    found = stored(found.groupBy("doc_id").agg(F.first("s").alias("s")), "sets")
-    a = found.select(F.col("doc_id").alias("a"), F.col("s").alias("s_a"))
-    b = found.select(F.col("doc_id").alias("b"), F.col("s").alias("s_b"))
-    common = F.arrow_udf(_common, "bigint")
-    return pairs.join(a, "a").join(b, "b").select(
-        "a", "b", common("s_a", "s_b").alias("common"),
-        (F.length("s_a") / 8).cast("long").alias("n_a"), (F.length("s_b") / 8).cast("long").alias("n_b"))
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    texts = stored(documents.where(F.col("doc_id").isNotNull()).where(among(ids)).dropDuplicates(["doc_id"]), "candidates")
+    a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", overlaps(words)("text_a", "text_b").alias("o"))
+    return both.select("a", "b", "o.*")
 
 
 def linked(percent: int = PERCENT):
@@ -213,7 +235,7 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     met = stored(sigs.join(meets, "sig"), "met")  # (sig, cls, n, least, members)
     fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
     star = met.where("cls != least").select(F.col("least").alias("a"), F.col("cls").alias("b"))
-    tried = stored(verified(star, classes, docs, words), "star")
+    tried = stored(verified(star, docs, words), "star")
     links = tried.where(linked(percent)).select("a", "b")
     vertices = classes.select("cls").distinct()
     label = stored(connected_components(links, vertices, "a", "b", "cls"), "labels")
@@ -239,7 +261,7 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
                                       & fits(F.col("n_x"), F.col("n_y")) & F.coalesce(F.col("cls_x") != F.col("least_x"), F.lit(True))
                                       & (F.coalesce(F.abs(F.col("j_x") - F.col("j_y")), F.lit(0.0)) <= slack)) \
                 .select(F.col("cls_x").alias("a"), F.col("cls_y").alias("b"))
-        rest = verified(more, classes, docs, words).where(linked(percent)).select("a", "b")
+        rest = verified(more, docs, words).where(linked(percent)).select("a", "b")
         firm = label.where("cls != component").select(F.col("component").alias("a"), F.col("cls").alias("b"))
         label = connected_components(firm.unionByName(rest), vertices, "a", "b", "cls")
     member = classes.join(label, "cls").select(*fp, F.col("component").alias("component_id"))

@@ -135,22 +135,23 @@ def group_by_licence_platform(df: DataFrame, licence: str = "licencia", platform
 
 
 def group_licence_flags(df: DataFrame, group="group_id", licence: str = "licencia") -> DataFrame:
-    """Attach per-group ``group_has_license`` and ``no_license_count``."""
+    """Attach per-group ``group_has_license`` and ``no_license_count``; rows
+    without a group get neither (null)."""
     g = _by(group)
     d = df.withColumn("has_license", is_present(licence))
-    flags = d.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)]).agg(
+    flags = d.dropna(subset=g).groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)]).agg(
         F.bool_or("has_license").alias("group_has_license"),
         F.sum((~F.col("has_license")).cast("int")).alias("no_license_count"))
-    joined = d.join(flags, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(g)], "left")
+    joined = d.join(flags, [F.col(c) == F.col(f"_g{i}") for i, c in enumerate(g)], "left")
     return joined.drop(*[f"_g{i}" for i in range(len(g))])
 
 
 def drop_lone_unlicensed(df: DataFrame, group="group_id", licence: str = "licencia") -> DataFrame:
     """Drop an unlicensed row when its group has a licence and exactly one
-    unlicensed row."""
+    unlicensed row.  Rows without a group stay."""
     f = group_licence_flags(df, group, licence)
     drop = (~F.col("has_license")) & F.col("group_has_license") & (F.col("no_license_count") == 1)
-    return f.where(~drop).drop("has_license", "group_has_license", "no_license_count")
+    return f.where(~F.coalesce(drop, F.lit(False))).drop("has_license", "group_has_license", "no_license_count")
 
 
 def first_per_group(df: DataFrame, group="group_id", order: str = "row_id") -> DataFrame:

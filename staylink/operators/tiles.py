@@ -52,7 +52,7 @@ def _status(n: Column, depth: Column, leaf_rule, min_deg, max_depth: int, boxes_
     if min_deg is not None:
         small = small | (lat_side <= F.lit(min_deg)) | (lng_side <= F.lit(min_deg))
     return (F.when(n == 0, F.lit("empty")).when(leaf_rule(n), F.lit("leaf"))
-            .when(small, F.lit("ignored")).otherwise(F.lit("split")))
+            .when(small, F.lit("ignored" if min_deg is not None else "leaf")).otherwise(F.lit("split")))
 
 
 def _tile_frame(df: DataFrame) -> DataFrame:
@@ -86,8 +86,9 @@ def adaptive_tiles(points: DataFrame, boxes=ISLAND_BOXES, leaf_rule="booking", m
                    max_depth: int = 10) -> DataFrame:
     """Every visited tile of the quadtree with its count and status: ``split``
     (over-full, divided), ``leaf`` (fits the page rule), ``empty`` (no
-    points) or ``ignored`` (over-full at minimum size or depth cap: its
-    points are not collected)."""
+    points) or ``ignored`` (over-full at the rule's own minimum size: its
+    points are not collected).  A rule without a minimum ignores nothing: a tile
+    still over-full at ``max_depth`` is a leaf with all its points."""
     rule = LEAF_RULES[leaf_rule] if isinstance(leaf_rule, str) else leaf_rule
     if min_deg == "default":
         min_deg = MIN_TILE_DEG.get(leaf_rule) if isinstance(leaf_rule, str) else None
@@ -125,8 +126,9 @@ def assign_tile(points: DataFrame, boxes=ISLAND_BOXES, leaf_rule="booking", min_
 
 
 def page_plan(tiles: DataFrame, page_size: int = PAGE_SIZE, cap: int = PAGE_CAP) -> DataFrame:
-    """Leaf tiles -> result pages: floor(n / page_size) + 1 pages for
-    1 <= n <= cap, none for empty tiles; item offset = page_size * page."""
-    t = tiles.where((F.col("status") == "leaf") & (F.col("n") >= 1) & (F.col("n") <= cap))
+    """Leaf tiles -> result pages: floor(n / page_size) + 1 pages, none for
+    empty tiles; item offset = page_size * page.  ``cap`` is the tile size up to
+    which the source serves every page; over-full leaves are planned whole."""
+    t = tiles.where((F.col("status") == "leaf") & (F.col("n") >= 1))
     return t.select("tile", "n", F.explode(F.sequence(F.lit(0), F.floor(F.col("n") / page_size).cast("int")))
                     .alias("page")).withColumn("item_offset", F.col("page") * page_size)

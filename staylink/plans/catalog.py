@@ -321,9 +321,8 @@ def q_add_row_id(spark, sf_dir):
 @query
 def q_union_listings(spark, sf_dir):
     d = load_listings(spark, sf_dir)
-    a = d.where(F.col("plataforma") == "airbnb").select("row_id", "nombre", "lat")
-    b = d.where(F.col("plataforma") == "booking").select("row_id", "nombre", "capacidad")
-    return ordr.union_listings(a, b)
+    only = lambda p, *cols: d.where(F.col("plataforma") == p).select("row_id", "nombre", *cols)
+    return ordr.union_listings(only("airbnb", "lat"), only("booking", "capacidad"), only("holidu", "lat"), only("vrbo", "capacidad"))
 
 
 @query

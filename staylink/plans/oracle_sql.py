@@ -228,7 +228,11 @@ SELECT row_id, plataforma, coalesce(licencia, '') AS lic,
 ORACLE["union_listings"] = f"""WITH {LISTINGS}
 SELECT row_id, nombre, lat, NULL::INTEGER AS capacidad FROM listings WHERE plataforma = 'airbnb'
 UNION ALL
-SELECT row_id, nombre, NULL::DOUBLE AS lat, capacidad FROM listings WHERE plataforma = 'booking'"""
+SELECT row_id, nombre, NULL::DOUBLE AS lat, capacidad FROM listings WHERE plataforma = 'booking'
+UNION ALL
+SELECT row_id, nombre, lat, NULL::INTEGER AS capacidad FROM listings WHERE plataforma = 'holidu'
+UNION ALL
+SELECT row_id, nombre, NULL::DOUBLE AS lat, capacidad FROM listings WHERE plataforma = 'vrbo'"""
 
 ORACLE["distinct_listings"] = f"""WITH {LISTINGS}
 SELECT DISTINCT property_id, plataforma, tipo, habitaciones FROM listings"""
@@ -371,7 +375,7 @@ JOIN st ON st.isla = tc.isla AND st.depth = stp.stop_depth AND st.tx = tc.ix >>
 ORACLE["page_plan"] = f"""WITH {LISTINGS}, {tiles_ctes("n <= 270", None, 7)}
 SELECT tile, n, p.page, p.page * 18 AS item_offset
 FROM tiles, LATERAL (SELECT range::INTEGER AS page FROM range(0, CAST(floor(n / 18) AS BIGINT) + 1)) p
-WHERE status = 'leaf' AND n >= 1 AND n <= 270"""
+WHERE status = 'leaf' AND n >= 1"""
 
 ORACLE["encode_categories"] = f"""WITH {LISTINGS},
 d AS (SELECT row_id, coalesce(plataforma, 'platform_desconocido') AS plataforma, coalesce(tipo, 'tipo_desconocido') AS tipo,

@@ -9,6 +9,7 @@ contract) fill that setting in when it is missing.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,11 +60,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """For local entry points only: use the configured directory, or create a
-    scratch one when the session names none (tests, single-machine runs)."""
+    """Use the configured directory; a session of one machine (master
+    ``local``) that names none gets a scratch one.  A cluster must name it."""
     try:
         return checkpoint_dir(spark)
     except RuntimeError:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise
         d = tempfile.mkdtemp(prefix="staylink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -54,10 +54,15 @@ def read_listings_csv(spark: SparkSession, path: str, platform: str) -> DataFram
 
 
 def write_listings(df: DataFrame, path: str, fmt: str = "parquet", partition_by=("plataforma",)) -> None:
-    """Partitioned by platform (and date/island when present) so later reads prune."""
-    parts = [c for c in (*partition_by, "fecha", "isla") if c in df.columns]
-    w = df.write.mode("overwrite").partitionBy(*dict.fromkeys(parts))
-    (w.option("header", True).csv(path) if fmt == "csv" else w.format(fmt).save(path))
+    """Partitioned by platform (and date/island when present) so later reads
+    prune.  Only the partitions that ``df`` holds are replaced: snapshots of other
+    dates and platforms stay.  CSV files keep all columns (their folders are named
+    by copies) and double their quotes, so ``read_listings_csv`` reads them."""
+    parts = list(dict.fromkeys(c for c in (*partition_by, "fecha", "isla") if c in df.columns))
+    if fmt == "csv":
+        df, parts = df.withColumns({f"part_{c}": F.col(c) for c in parts}), [f"part_{c}" for c in parts]
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts)
+    (w.option("header", True).option("escape", '"').csv(path) if fmt == "csv" else w.format(fmt).save(path))
 
 
 def save_features(df: DataFrame, fitted: dict, path: str) -> None:

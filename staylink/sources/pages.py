@@ -32,16 +32,20 @@ def extract_page_attributes(pages: DataFrame, key: str = "listing_id", platform:
     """Listing pages -> one row per listing: rooms, adults, children, licence,
     type and host, each taken from the earliest capture that yields it."""
     cap = booking_capacity(html)
+    # booking: the licence and the hotelier's name stand in the page source, the
+    # chain and company lines in the visible text
+    whole = F.concat_ws("\n", html, text)
     rows = pages.select(
         key, order,
         F.when(F.col(platform) == "booking", booking_rooms(html, text)).alias("habitaciones"),
         F.when(F.col(platform) == "booking", cap["adultos"]).alias("capacidad"),
         F.when(F.col(platform) == "booking", cap["ninos"]).alias("ninos"),
-        extract_licence(platform, F.when(F.col(platform) == "airbnb", F.col(html)).otherwise(F.col(text)))
+        extract_licence(platform, F.when(F.col(platform) == "airbnb", F.col(html))
+                        .when(F.col(platform) == "booking", whole).otherwise(F.col(text)))
         .alias("licencia"),
         F.when(F.col(platform) == "booking", extract_type(text)).alias("tipo"),
-        extract_host(platform, F.when(F.col(platform).isin("booking", "airbnb"), F.col(html))
-                     .otherwise(F.col(text))).alias("anfitrion"))
+        extract_host(platform, F.when(F.col(platform) == "airbnb", F.col(html))
+                     .when(F.col(platform) == "booking", whole).otherwise(F.col(text))).alias("anfitrion"))
     fields = ["habitaciones", "capacidad", "ninos", "licencia", "tipo", "anfitrion"]
     return rows.groupBy(key).agg(*[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order))).alias(c)
                                    for c in fields])

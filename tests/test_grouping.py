@@ -53,3 +53,10 @@ def test_lone_unlicensed_and_first(spark):
     assert kept == [0, 2, 3, 4]
     firsts = {r["group_id"]: r["row_id"] for r in first_per_group(df).collect()}
     assert firsts == {"g": 0, "h": 2}
+
+
+def test_rows_without_a_group_keep_no_flags(spark):
+    from staylink.operators.grouping import drop_lone_unlicensed
+    df = spark.createDataFrame([(1, None, "L1"), (2, None, None), (3, "g", "L1"), (4, "g", None)],
+                               "row_id long, group_id string, licencia string")
+    assert sorted(r.row_id for r in drop_lone_unlicensed(df).collect()) == [1, 2, 3]

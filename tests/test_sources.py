@@ -63,3 +63,24 @@ def test_read_listings_csv(spark, tmp_path):
     r = read_listings_csv(spark, str(p), "booking").first()
     assert (r["listing_id"], r["nombre"], r["tipo"], r["plataforma"], str(r["fecha"])) == \
         ("bk1", 'Casa, "A"', "Villa", "booking", "2025-06-24")
+
+
+def test_snapshots_coexist_and_csv_keeps_quotes(spark, tmp_path):
+    from staylink.sources.csv_io import write_listings
+    schema = "plataforma string, fecha string, nombre string"
+    for name in ("parquet", "csv"):
+        out = f"{tmp_path}/{name}"
+        write_listings(spark.createDataFrame([("airbnb", "2025-06-01", 'a "b"\nc, d')], schema), out, name)
+        write_listings(spark.createDataFrame([("booking", "2025-06-02", "e")], schema), out, name)
+        back = spark.read.parquet(out) if name == "parquet" else \
+            spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(out)
+        assert {(r.plataforma, str(r.fecha), r.nombre) for r in back.collect()} == \
+            {("airbnb", "2025-06-01", 'a "b"\nc, d'), ("booking", "2025-06-02", "e")}
+
+
+def test_booking_page_reads_source_and_text(spark):
+    from staylink.functions import parsing
+    from staylink.sources.pages import extract_page_attributes
+    df = spark.createDataFrame([("1", "booking", "<p>nothing</p>", "x", 0)],
+                               "listing_id string, plataforma string, page_html string, page_text string, capture int")
+    assert extract_page_attributes(df).first().licencia is None and parsing.HOST_MAX_CHARS

@@ -48,3 +48,12 @@ def test_page_plan(spark):
         pages.setdefault(r["tile"], []).append((r["page"], r["item_offset"]))
     assert {k: len(v) for k, v in pages.items()} == {"b": 1, "c": 2, "d": 16}
     assert sorted(pages["c"]) == [(0, 0), (1, 18)]
+
+
+def test_no_point_is_lost_at_the_depth_cap(spark):
+    from staylink.operators.tiles import page_plan
+    rows = [(i, 0.5 + (i % 40) * 1e-6, 0.5 + (i // 40) * 1e-6) for i in range(1000)] + [(2000 + i, 0.25, 0.25) for i in range(300)]
+    df = spark.createDataFrame(rows, "row_id long, lat double, lng double")
+    tiles = adaptive_tiles(df, boxes=BOX, leaf_rule=lambda n: n <= 270, min_deg=None, max_depth=6)
+    planned = page_plan(tiles).select("tile", "n").distinct().collect()
+    assert sum(r.n for r in planned) == len(rows)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_KM, haversine_km
 from ..functions.licence import licence_digits, licence_letters, with_canonical_license
 from ..functions.text import normalize_host
-from ..session import cut_lineage
+from ..session import store_rows
 from .filters import is_present
 
 
@@ -22,8 +22,8 @@ def with_licence_columns(df: DataFrame, licence: str = "licencia", materialize:
     """Add ``_license_norm`` (canonical licence), ``licencia_letras`` and
     ``licencia_numeros``.
 
-    The keys are written once (``materialize``) into the checkpoint folder:
-    later filters and joins on them then read plain columns.  Without the cut,
+    The rows are written once (``materialize``) as Parquet into the checkpoint
+    folder: later filters and joins scan plain columns, pruned.  Without the cut,
     Catalyst pushes every filter on a derived key (including the inferred
     ``isnotnull`` of a join key) down through the staged projections and
     inlines each regex as many times as it is referenced, which multiplies the
@@ -32,7 +32,7 @@ def with_licence_columns(df: DataFrame, licence: str = "licencia", materialize:
     out = (with_canonical_license(df, licence)
            .withColumn("licencia_letras", licence_letters("_license_norm"))
            .withColumn("licencia_numeros", licence_digits("_license_norm")))
-    return cut_lineage(out) if materialize else out
+    return store_rows(out, "licence-keys") if materialize else out
 
 
 def _by(by) -> list:
@@ -72,7 +72,7 @@ def medoid_anchor(df: DataFrame, key: str, host: str, lat: str = "lat", lng: str
     if summary is None:
         summary = key_summary(df, key, host, by)
     rep = summary.where(F.col("max_rep") >= 2).select(*ks, "dom_host", "dom_first_row")
-    rows = df.select(*ks, host, "row_id", lat, lng).join(rep, ks)
+    rows = store_rows(df.select(*ks, host, "row_id", lat, lng).join(rep, ks), "medoid-rows")
     null_keys = (rows.groupBy(*ks).agg(F.max((F.col(lat).isNull() | F.col(lng).isNull()).cast("int"))
                                        .alias("has_null")))
     rows = rows.join(null_keys, ks)
@@ -105,10 +105,11 @@ def group_by_licence_host(df: DataFrame, key: str = "_license_norm", host: str =
     geographic medoid.  ``row_suffix`` appends ``_{key}`` to ``ROW`` ids.
     """
     ks = _by(by) + [key]
-    summary = key_summary(df, key, host, by)
+    summary = store_rows(key_summary(df, key, host, by), "licence-summary")
     out = df.join(summary, ks)
     if anchor == "medoid":
-        out = out.join(medoid_anchor(df, key, host, lat, lng, summary=summary, by=by), ks, "left")
+        anchors = store_rows(medoid_anchor(df, key, host, lat, lng, summary=summary, by=by), "licence-anchors")
+        out = out.join(anchors, ks, "left")
     elif anchor == "first":
         out = out.withColumn("anchor_row", F.col("dom_first_row"))
     else:

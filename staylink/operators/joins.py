@@ -94,12 +94,18 @@ def same_config_pairs(df: DataFrame, radius_km: float, earth_km: float = EARTH_K
 
 def tag_island(df: DataFrame, boxes=ISLAND_BOXES, lat: str = "lat", lng: str = "lng") -> DataFrame:
     """``isla`` = first box (in the given order) containing the point; null
-    outside every box.  The boxes are a fixed handful of constants, so this is
-    a projection, not a join."""
+    outside every box.  A fixed handful of boxes is a projection; a DataFrame
+    of any number (isla, lat_min, lng_min, lat_max, lng_max, ord; least ``ord``
+    first) is an equi-join on half-degree bins of the distinct points."""
     if isinstance(boxes, DataFrame):
-        if boxes.limit(1001).count() > 1000:
-            raise ValueError("tag_island takes at most 1000 boxes")
-        boxes = [tuple(r) for r in boxes.select("isla", "lat_min", "lng_min", "lat_max", "lng_max").collect()]
+        bin_ = lambda c: F.floor(F.col(c) * 2)
+        span = lambda c: F.explode(F.sequence(bin_(f"{c}_min"), bin_(f"{c}_max")))
+        bx = boxes.where("lat_min <= lat_max AND lng_min <= lng_max").withColumn("_by", span("lat")).withColumn("_bx", span("lng"))
+        points = df.select(F.col(lat).alias("_lat"), F.col(lng).alias("_lng")).distinct() \
+                   .withColumn("_by", bin_("_lat")).withColumn("_bx", bin_("_lng"))
+        inside = F.col("_lat").between(F.col("lat_min"), F.col("lat_max")) & F.col("_lng").between(F.col("lng_min"), F.col("lng_max"))
+        tags = points.join(bx, ["_by", "_bx"]).where(inside).groupBy("_lat", "_lng").agg(F.min_by("isla", "ord").alias("isla"))
+        return df.join(tags, (F.col(lat) == tags["_lat"]) & (F.col(lng) == tags["_lng"]), "left").drop("_lat", "_lng")
     expr = None
     for name, la0, lo0, la1, lo1 in boxes:
         inside = F.col(lat).between(la0, la1) & F.col(lng).between(lo0, lo1)

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 
 from ..functions.geo import EARTH_KM
 from ..functions.licence import with_canonical_license
+from ..session import store_rows
 from .graph import connected_components
 from .joins import radius_join
 from .ordering import add_row_id, union_listings
@@ -19,23 +20,25 @@ def split_groups_by_distance(df: DataFrame, km: float = 2.0, group: str = "group
     (a row without coordinates is its own cluster).  A group with more than
     one cluster gets ``_LOC{n}`` suffixes, n numbered by each cluster's first
     row.  Rows at identical coordinates are collapsed to one representative
-    first, so a building with many listings adds a star, not a clique."""
-    pts = df.where(F.col(group).isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull())
+    first, so a building with many listings adds a star, not a clique.  Only
+    (row_id, group, lat, lng) go through the graph, written once."""
+    keys = store_rows(df.select("row_id", group, "lat", "lng"), "split-keys")
+    pts = keys.where(F.col(group).isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull())
     reps = pts.groupBy(group, "lat", "lng").agg(F.min("row_id").alias("rep"))
     rep_edges = radius_join(reps.withColumnRenamed("rep", "row_id"), km, earth_km, equal_on=[group]) \
         .select(F.col("i").alias("src"), F.col("j").alias("dst"))
     members = pts.select("row_id", group, "lat", "lng").join(reps, [group, "lat", "lng"]) \
         .where(F.col("row_id") != F.col("rep")).select(F.col("rep").alias("src"), F.col("row_id").alias("dst"))
-    cc = connected_components(rep_edges.unionByName(members), df.select("row_id"))
-    labelled = df.join(cc, "row_id")
+    cc = connected_components(rep_edges.unionByName(members), keys.select("row_id"))
+    labelled = store_rows(keys.select("row_id", group).join(cc, "row_id"), "split-labels")
     # cluster numbering works on the (group, cluster) table, never on whole groups of rows
     clusters = labelled.where(F.col(group).isNotNull()).select(group, "component").distinct()
     w = Window.partitionBy(group).orderBy("component")
     clusters = (clusters.withColumn("_n", F.row_number().over(w))
                 .withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(group))))
-    out = labelled.join(clusters, [group, "component"], "left")
-    return out.withColumn(group, F.when(F.col("_k") > 1, F.concat(F.col(group), F.lit("_LOC"), F.col("_n").cast("string")))
-                          .otherwise(F.col(group))).drop("component", "_n", "_k")
+    new = F.when(F.col("_k") > 1, F.concat(F.col(group), F.lit("_LOC"), F.col("_n").cast("string"))).otherwise(F.col(group))
+    split = labelled.join(clusters, [group, "component"], "left").select("row_id", new.alias("_split"))
+    return df.join(split, "row_id").withColumn(group, F.col("_split")).drop("_split")
 
 
 def hostless_groups(df: DataFrame, host: str = "anfitrion", licence: str = "licencia") -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions.text import fold_title, normalize_host, normalize_title
 from ..operators import filters as flt
 from ..operators import grouping as grp
 from ..operators import quality as q
+from ..session import store_rows
 from ..sources.tables import load_listings
 
 QUERIES: dict = {}
@@ -427,7 +428,7 @@ def training_rows(spark, sf_dir):
     """Licensed rows grouped by licence/platform, split by distance, anchored
     groups excluded, defaults filled: the matcher's weak labels."""
     g = sv.split_groups_by_distance(jn.merge_numeric_letter(platform_groups(spark, sf_dir)), 2.0)
-    return flt.fill_defaults(flt.exclude_anchored(g))
+    return store_rows(flt.fill_defaults(flt.exclude_anchored(g)), "training-rows")
 
 
 @query
@@ -458,10 +459,13 @@ def q_map_unknown_category(spark, sf_dir):
 @query
 def q_model_similarity_edges(spark, sf_dir):
     """500 m, equal filled capacity/rooms, cosine >= 0.8 of the rows' vectors
-    (the driver's embeddings, joined on vec_id = row_id)."""
+    (the driver's embeddings; a property takes the vector of its id modulo
+    their number, the Vrbo rows the next one, so every listing has one)."""
     from ..sources.tables import read_table
-    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("row_id"), "embedding")
-    d = load_listings(spark, sf_dir).na.fill({"capacidad": -1, "habitaciones": -1}).join(emb, "row_id")
+    emb = read_table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("_vec"), "embedding")
+    other = (F.col("plataforma") == "vrbo").cast("long")
+    d = load_listings(spark, sf_dir).na.fill({"capacidad": -1, "habitaciones": -1})
+    d = d.withColumn("_vec", (F.col("property_id") + other) % emb.count()).join(emb, "_vec")
     e = model_similarity_edges(d, "embedding", radius_m=500.0, threshold=0.8)
     return e.select("src", "dst", F.round("similarity", 6).alias("similarity"))
 
@@ -473,7 +477,25 @@ def q_positive_pairs(spark, sf_dir):
 
 @query
 def q_pair_counts(spark, sf_dir):
-    return q.pair_counts(pr.positive_pairs(training_rows(spark, sf_dir)))
+    return q.pair_counts(pr.training_pairs(training_rows(spark, sf_dir)))
+
+
+@query
+def q_hard_negative_pairs(spark, sf_dir):
+    return pr.hard_negative_pairs(training_rows(spark, sf_dir))
+
+
+@query
+def q_geo_negative_pairs(spark, sf_dir):
+    return pr.geo_negative_pairs(training_rows(spark, sf_dir))
+
+
+@query
+def q_group_split(spark, sf_dir):
+    """Every training pair with its side of the split."""
+    rows = training_rows(spark, sf_dir)
+    train, val = pr.group_split(store_rows(pr.training_pairs(rows), "pairs"), rows)
+    return train.withColumn("side", F.lit("train")).unionByName(val.withColumn("side", F.lit("validation")))
 
 
 @query
@@ -491,7 +513,8 @@ def q_pair_scorer_metrics(spark, sf_dir):
     enc, _ = ft.scale_minmax(enc, ["capacidad", "habitaciones", "lat", "lng"],
                              ["cap_scaled", "hab_scaled", "lat_scaled", "lon_scaled"])
     feats = ft.assemble_features(ft.embed_titles(enc))
-    pairs = pr.training_pairs(rows)
+    pairs = store_rows(pr.training_pairs(rows), "pairs")
+    feats = store_rows(feats.select("row_id", "features"), "features")
     train, val = pr.group_split(pairs, rows)
     model = train_pair_scorer(train, feats)
     return q.pair_metrics(score_pairs(model, val, feats), 0.75)

@@ -400,7 +400,8 @@ SELECT row_id, CASE WHEN tipo IN (SELECT tipo FROM k) THEN tipo ELSE 'tipo_desco
 
 ORACLE["model_similarity_edges"] = f"""WITH {LISTINGS},
 e AS (SELECT l.row_id, l.lat, l.lng, coalesce(l.capacidad, -1) AS capacidad, coalesce(l.habitaciones, -1) AS habitaciones,
-             CAST(m.embedding AS DOUBLE[]) AS v FROM listings l JOIN embeddings m ON m.vec_id = l.row_id
+             CAST(m.embedding AS DOUBLE[]) AS v FROM listings l JOIN embeddings m
+             ON m.vec_id = (l.property_id + CASE WHEN l.plataforma = 'vrbo' THEN 1 ELSE 0 END) % (SELECT count(*) FROM embeddings)
       WHERE l.lat IS NOT NULL AND l.lng IS NOT NULL),
 p AS (SELECT a.row_id AS src, b.row_id AS dst,
              list_sum(list_transform(list_zip(a.v, b.v), lambda t: t[1] * t[2])) /
@@ -418,7 +419,38 @@ pq AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY md5('42|' ||
 pos AS (SELECT i, j, 1 AS label FROM pq WHERE pr <= 10)"""
 
 ORACLE["positive_pairs"] = f"WITH RECURSIVE {POSITIVES} SELECT * FROM pos"
-ORACLE["pair_counts"] = f"WITH RECURSIVE {POSITIVES} SELECT count(*) AS pairs, CAST(sum(label) AS BIGINT) AS positives FROM pos"
+
+
+def _draw(turn: int) -> str:
+    return f"('0x' || substr(md5('42|{turn}|' || CAST(id AS VARCHAR)), 1, 12))::BIGINT"
+
+
+NEGATIVES = f"""{POSITIVES},
+hc AS (SELECT tr.row_id, tr.group_id, capacidad, coalesce(habitaciones, -1) AS habitaciones,
+              row_number() OVER (PARTITION BY capacidad, coalesce(habitaciones, -1) ORDER BY md5('42|' || CAST(tr.row_id AS VARCHAR)), tr.row_id) AS p
+       FROM tr WHERE capacidad IS NOT NULL),
+hard AS (SELECT least(a.row_id, b.row_id) AS i, greatest(a.row_id, b.row_id) AS j FROM hc a JOIN hc b
+         ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AND b.p > a.p AND b.p <= a.p + 32
+         WHERE a.group_id <> b.group_id),
+ro AS (SELECT row_id, group_id, lat, lng, row_number() OVER (ORDER BY row_id) - 1 AS p, count(*) OVER () AS total FROM tr),
+dr AS (SELECT pi, pj + CASE WHEN pj >= pi THEN 1 ELSE 0 END AS pj FROM (
+         SELECT {_draw(1)} % t.total AS pi, {_draw(2)} % (t.total - 1) AS pj
+         FROM (SELECT range AS id FROM range(0, 70000)), (SELECT count(*) AS total FROM tr) t)),
+geo AS (SELECT a.row_id AS i, b.row_id AS j FROM dr JOIN ro a ON a.p = dr.pi JOIN ro b ON b.p = dr.pj
+        WHERE a.group_id <> b.group_id AND {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng')} > 0.5),
+nr AS (SELECT i, j, row_number() OVER (ORDER BY md5('42|' || CAST(i AS VARCHAR) || '|' || CAST(j AS VARCHAR)), i, j) AS r
+       FROM (SELECT i, j FROM hard UNION SELECT i, j FROM geo)),
+tp AS (SELECT i, j, label FROM pos UNION ALL SELECT i, j, 0 FROM nr WHERE r <= 3 * (SELECT count(*) FROM pos)),
+vg AS (SELECT group_id, row_number() OVER (ORDER BY md5('42|' || group_id), group_id) <= ceil(0.2 * count(*) OVER ()) AS val
+       FROM (SELECT DISTINCT tr.group_id FROM tp JOIN tr ON tr.row_id = tp.i))"""
+
+ORACLE["hard_negative_pairs"] = f"WITH RECURSIVE {NEGATIVES} SELECT i, j, 0 AS label FROM hard"
+ORACLE["geo_negative_pairs"] = f"WITH RECURSIVE {NEGATIVES} SELECT i, j, 0 AS label FROM geo"
+ORACLE["training_pairs"] = f"WITH RECURSIVE {NEGATIVES} SELECT * FROM tp"
+ORACLE["pair_counts"] = f"WITH RECURSIVE {NEGATIVES} SELECT count(*) AS pairs, CAST(sum(label) AS BIGINT) AS positives FROM tp"
+ORACLE["group_split"] = f"""WITH RECURSIVE {NEGATIVES}
+SELECT tp.i, tp.j, tp.label, CASE WHEN vg.val THEN 'validation' ELSE 'train' END AS side
+FROM tp JOIN tr ON tr.row_id = tp.i JOIN vg USING (group_id)"""
 
 ORACLE["conform_listings"] = f"""WITH {LISTINGS}
 SELECT row_id, plataforma, CASE WHEN plataforma = 'airbnb' THEN NULL ELSE CAST(property_id AS VARCHAR) END AS listing_id,

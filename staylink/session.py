@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,3 +79,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     survives executor loss) and return the truncated-lineage DataFrame."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def store_rows(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` as Parquet into a new folder below the shared checkpoint
+    directory and read it back.  A stage boundary: later uses scan the columns
+    and rows they need instead of recomputing the stage."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staylink_stages/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -13,17 +13,20 @@ Costs decide how a signature is used.  Equal sets are first folded into one clas
 Signatures met once are dropped by a count with map-side aggregation.  Of every
 other signature only the star (its least class to each other one) is verified;
 most groups of near copies are connected by that.  Where members of a signature
-still lie in different components, all its pairs across components are verified,
-save those that the triangle inequality of the Jaccard distance rules out by the
-star's distances.  Signatures with more than ``HOT`` members (an empty segment, a
-common passage) are not paired: their members are indexed again under the pair
-of this segment and each other segment, and under the one-deletion neighbourhood
-of the following segment.  That is exact: with one segment equal, H others are
-left for at most H differences, so another agrees wholly or all differ in just
-one element, the following segment too.
-
-Verification intersects the two sets, recomputed from the texts; only texts of
-candidates are shuffled (a bitmap of fixed size picks them).  Links become
+still lie in different components, they are compared across components inside
+blocks of ``BLOCK`` members (a larger signature takes each pair of its blocks).
+Signatures with more than ``HOT`` members (an empty segment, a common passage) are
+refined first: their members are indexed again under the pair of this segment and
+each other segment, and under the one-deletion neighbourhood of the following
+segment.  That is exact: with one segment equal, H others are left for at most H
+differences, so another agrees wholly or all differ in just one element, the
+following segment too.
+
+A comparison reads the parities of the set's elements by hash bucket (four to eight
+buckets an element): two sets differ in at least as many elements as parities, so a
+pair with more of those than a link allows is none.  Only the others reach the
+verification, which intersects the two sets, recomputed from the texts; only texts
+of candidates are shuffled (a bitmap of fixed size picks them).  Links become
 components by star contraction in Spark.
 
 Defined results: null, empty and word-less texts have an empty set and link with
@@ -43,13 +46,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
-from .common import WordHash, bytes_of, load, mix64, stored
+from .common import WordHash, bytes_of, drop_stored, load, mix64, stored
 
 WORDS, PERCENT = 3, 90
 #: Largest size of a band over its least.
 BAND = 1.6
 #: Members from which a signature is refined instead of paired.
 HOT = 300
+#: Members of a signature compared at once.
+BLOCK = 256
 #: Size of the bitmap that picks the candidates' texts (2 MB).
 BITS = 1 << 24
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -138,6 +143,88 @@ def _long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+def parities(s: np.ndarray) -> bytes:
+    """Parity of the elements in each of 2^k buckets, at least four an element."""
+    m = max(64, 1 << int(4 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """The parities over ``size`` bytes of buckets, as 64-bit words."""
+    x = np.frombuffer(bits, np.uint64)
+    while len(x) * 8 > size:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def may_link(percent: int = PERCENT):
+    """A column function: (parities, n) twice -> whether a link is possible."""
+
+    @F.arrow_udf("boolean")
+    def of(bits_a: pa.Array, bits_b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
+        most = (n_a.to_numpy() + n_b.to_numpy()) * (100 - percent) // (100 + percent)
+        apart = [int(np.bitwise_count(folded(a, min(len(a), len(b))) ^ folded(b, min(len(a), len(b)))).sum())
+                 for a, b in zip(bits_a.to_pylist(), bits_b.to_pylist())]
+        return pa.array(np.array(apart, np.int64) <= most)
+
+    return of
+
+
+def _across(group: dict, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of one block pair that lie in different components and may link."""
+    n, part, cls, own = (np.array(group[c], np.int64) for c in ("n", "component", "cls", "own"))
+    if (part == part[0]).all():
+        return []
+    order = np.argsort(n, kind="stable")
+    n, part, cls, own = n[order], part[order], cls[order], own[order]
+    size = min(map(len, group["bits"]))
+    rows = np.stack([folded(group["bits"][k], size) for k in order])
+    one_block, found = group["lo"][0] == group["hi"][0], []
+    for i in range(len(n) - 1):
+        end = np.searchsorted(n, n[i] * 100 // percent, side="right")
+        other = part[i + 1:end] != part[i]
+        if not one_block:
+            other &= own[i + 1:end] != own[i]
+        at = i + 1 + np.flatnonzero(other)
+        apart = np.bitwise_count(rows[at] ^ rows[i]).sum(axis=1, dtype=np.int64)
+        at = at[apart <= (n[at] + n[i]) * (100 - percent) // (100 + percent)]
+        if len(at):
+            found.append((np.minimum(cls[at], cls[i]), np.maximum(cls[at], cls[i])))
+    return found
+
+
+def candidates(sides: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b): pairs across components that share a signature and may link.
+    ``sides`` holds (sig, members, cls, n, component, bits); members fall into
+    blocks by hash, and each pair of blocks is a group of its own."""
+    key, columns = ["sig", "lo", "hi"], ["sig", "lo", "hi", "own", "cls", "n", "component", "bits"]
+    blocks = F.ceil(F.col("members") / BLOCK)
+    each = sides.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("cls"), "blocks")) \
+                .withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))) \
+                .withColumn("lo", F.least("own", "with")).withColumn("hi", F.greatest("own", "with")).select(*columns)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            keys = [table[c].to_numpy() for c in key]
+            cuts = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+            held = table.slice(int(cuts[-1]) if len(cuts) else 0)  # its group may go on
+            yield from pairs_of(table, [0, *cuts.tolist()])
+        if held is not None and len(held):
+            yield from pairs_of(held, [0, len(held)])
+
+    def pairs_of(table: pa.Table, cuts: list[int]) -> Iterator[pa.RecordBatch]:
+        found = [x for at, end in zip(cuts, cuts[1:]) if end - at > 1 for x in _across(table.slice(at, end - at).to_pydict(), percent)]
+        if found:
+            a, b = (np.concatenate(x) for x in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return each.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a bigint, b bigint")
+
+
 def overlaps(words: int = WORDS):
     """A column function: two texts -> (common, n_a, n_b) of their sets."""
 
@@ -185,9 +272,9 @@ def among(ids: DataFrame):
 
 
 def indexes(words: int = WORDS, percent: int = PERCENT):
-    """A column function: text -> (n, fp1, fp2, sigs)."""
+    """A column function: text -> (n, fp1, fp2, bits, sigs)."""
 
-    @F.arrow_udf("struct<n: bigint, fp1: bigint, fp2: bigint, sigs: array<bigint>>")
+    @F.arrow_udf("struct<n: bigint, fp1: bigint, fp2: bigint, bits: binary, sigs: array<bigint>>")
     def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = WordHash()
         for texts in parts:
@@ -199,22 +286,26 @@ def indexes(words: int = WORDS, percent: int = PERCENT):
                    for c in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
             yield pa.StructArray.from_arrays(
                 [pa.array([len(s) for s in found], pa.int64()), pa.array(fps[0], pa.int64()), pa.array(fps[1], pa.int64()),
+                 pa.array([parities(s) for s in found], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))],
-                names=["n", "fp1", "fp2", "sigs"])
+                names=["n", "fp1", "fp2", "bits", "sigs"])
 
     return of
 
 
-def verified(pairs: DataFrame, documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """(a, b, common, n_a, n_b) for the distinct pairs of classes.  Only the
-    candidates' texts are shuffled."""
+def verified(pairs: DataFrame, documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(a, b) of the distinct pairs of classes that link.  Only the candidates'
+    texts are shuffled."""
     pairs = stored(pairs.distinct(), "pairs")
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     texts = stored(documents.where(F.col("doc_id").isNotNull()).where(among(ids)).dropDuplicates(["doc_id"]), "candidates")
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(a, "a").join(b, "b").select("a", "b", overlaps(words)("text_a", "text_b").alias("o"))
-    return both.select("a", "b", "o.*")
+    links = stored(both.select("a", "b", "o.*").where(linked(percent)).select("a", "b"), "links")
+    drop_stored(pairs)
+    drop_stored(texts)
+    return links
 
 
 def linked(percent: int = PERCENT):
@@ -229,39 +320,28 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
     # equal sets fold into their least document
     fp = ["n", "fp1", "fp2"]
     classes = stored(alive.groupBy(*fp).agg(F.min("doc_id").alias("cls")), "classes")
-    sigs = alive.join(classes, (alive["doc_id"] == classes["cls"]) & (alive["fp1"] == classes["fp1"]), "left_semi") \
-                .select(F.col("doc_id").alias("cls"), "n", F.explode("sigs").alias("sig"))
+    firsts = alive.join(classes, (alive["doc_id"] == classes["cls"]) & (alive["fp1"] == classes["fp1"]), "left_semi")
+    sigs = firsts.select(F.col("doc_id").alias("cls"), F.explode("sigs").alias("sig"))
     meets = sigs.groupBy("sig").agg(F.min("cls").alias("least"), F.count("*").alias("members")).where("members > 1")
-    met = stored(sigs.join(meets, "sig"), "met")  # (sig, cls, n, least, members)
-    fits = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * percent)
-    star = met.where("cls != least").select(F.col("least").alias("a"), F.col("cls").alias("b"))
-    tried = stored(verified(star, docs, words), "star")
-    links = tried.where(linked(percent)).select("a", "b")
+    met = stored(sigs.join(meets, "sig"), "met")  # (sig, cls, least, members)
+    of = firsts.select(F.col("doc_id").alias("cls"), "n", "bits").dropDuplicates(["cls"])
+    side = lambda c: of.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+    star = met.where("cls != least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
+    star = star.join(side("b"), "b").join(side("a"), "a").where(may_link(percent)("bits_a", "bits_b", "n_a", "n_b"))
+    links = verified(star.select("a", "b"), docs, words, percent)
     vertices = classes.select("cls").distinct()
     label = stored(connected_components(links, vertices, "a", "b", "cls"), "labels")
     # signatures whose members lie in more than one component
-    open_ = met.select("sig", "cls", "n", "least", "members").join(label, "cls")
+    open_ = met.select("sig", "cls", "members").join(label, "cls")
     split = open_.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = stored(open_.join(split.select("sig"), "sig"), "open")
+    drop_stored(met)
     if not open_.isEmpty():
-        near = tried.select("a", "b", (F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("j"))
-        few = open_.where(F.col("members") <= hot)
+        keyed = open_.where(F.col("members") <= hot).select("sig", "members", "cls", "component")
         many = open_.where(F.col("members") > hot)
-        keyed = few.select("sig", "cls", "n", "least", "component")
         if not many.isEmpty():
             keyed = keyed.unionByName(_refine(many, docs, words, percent))
-        side = keyed.join(near, (keyed["least"] == near["a"]) & (keyed["cls"] == near["b"]), "left") \
-                    .select("sig", "cls", "n", "least", "component",
-                            F.when(F.col("cls") == F.col("least"), 1.0).otherwise(F.col("j")).alias("j"))
-        side = stored(side, "open-sides")
-        x = side.select("sig", *[F.col(c).alias(f"{c}_x") for c in ("cls", "n", "component", "j", "least")])
-        y = side.select("sig", *[F.col(c).alias(f"{c}_y") for c in ("cls", "n", "component", "j")])
-        slack = (100 - percent) / 100 + 1e-9
-        more = x.join(y, "sig").where((F.col("cls_x") < F.col("cls_y")) & (F.col("component_x") != F.col("component_y"))
-                                      & fits(F.col("n_x"), F.col("n_y")) & F.coalesce(F.col("cls_x") != F.col("least_x"), F.lit(True))
-                                      & (F.coalesce(F.abs(F.col("j_x") - F.col("j_y")), F.lit(0.0)) <= slack)) \
-                .select(F.col("cls_x").alias("a"), F.col("cls_y").alias("b"))
-        rest = verified(more, docs, words).where(linked(percent)).select("a", "b")
+        rest = verified(candidates(keyed.join(of, "cls"), percent), docs, words, percent)
         firm = label.where("cls != component").select(F.col("component").alias("a"), F.col("cls").alias("b"))
         label = connected_components(firm.unionByName(rest), vertices, "a", "b", "cls")
     member = classes.join(label, "cls").select(*fp, F.col("component").alias("component_id"))
@@ -272,7 +352,7 @@ def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int =
 
 def _refine(many: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The members of hot signatures under their refined keys that meet again."""
-    per = many.groupBy("cls").agg(F.first("n").alias("n"), F.first("component").alias("component"), F.collect_set("sig").alias("hot"))
+    per = many.groupBy("cls").agg(F.first("component").alias("component"), F.collect_set("sig").alias("hot"))
 
     @F.arrow_udf("array<bigint>")
     def keys(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -282,11 +362,11 @@ def _refine(many: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
                             for b, h in zip(bytes_of(texts), hot.to_pylist())], pa.list_(pa.int64()))
 
     one = docs.dropDuplicates(["doc_id"])
-    found = one.join(per, one["doc_id"] == per["cls"]).select("cls", "n", "component", F.explode(keys("text", "hot")).alias("sig"))
+    found = one.join(per, one["doc_id"] == per["cls"]).select("cls", "component", F.explode(keys("text", "hot")).alias("sig"))
     found = stored(found, "refined")
-    meets = found.groupBy("sig").agg(F.min("cls").alias("least"), F.min("component").alias("lo"), F.max("component").alias("hi")) \
-                 .where("lo < hi").select("sig", F.lit(None).cast("long").alias("least"))
-    return found.join(meets, "sig").select("sig", "cls", "n", "least", "component")
+    meets = found.groupBy("sig").agg(F.count("*").alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")) \
+                 .where("lo < hi").select("sig", "members")
+    return found.join(meets, "sig").select("sig", "members", "cls", "component")
 
 
 def op9_ngram_jaccard(spark, sf_dir: str) -> DataFrame:

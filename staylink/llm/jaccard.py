@@ -171,16 +171,14 @@ def may_link(percent: int = PERCENT):
     return of
 
 
-def _across(group: dict, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def _across(n, part, cls, own, bits, one_block: bool, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """The pairs of one block pair that lie in different components and may link."""
-    n, part, cls, own = (np.array(group[c], np.int64) for c in ("n", "component", "cls", "own"))
     if (part == part[0]).all():
         return []
     order = np.argsort(n, kind="stable")
     n, part, cls, own = n[order], part[order], cls[order], own[order]
-    size = min(map(len, group["bits"]))
-    rows = np.stack([folded(group["bits"][k], size) for k in order])
-    one_block, found = group["lo"][0] == group["hi"][0], []
+    size = min(map(len, bits))
+    rows, found = np.stack([folded(bits[k], size) for k in order]), []
     for i in range(len(n) - 1):
         end = np.searchsorted(n, n[i] * 100 // percent, side="right")
         other = part[i + 1:end] != part[i]
@@ -194,6 +192,19 @@ def _across(group: dict, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return found
 
 
+def _two(n, part, cls, own, bits, one_block: bool, percent: int) -> list[tuple[list, list]]:
+    """:func:`_across` for two members, which most signatures have."""
+    (n_a, n_b), (a, b) = n.tolist(), cls.tolist()
+    if part[0] == part[1] or not one_block and own[0] == own[1] or 100 * min(n_a, n_b) < percent * max(n_a, n_b):
+        return []
+    x, y = bits
+    if len(x) != len(y):
+        size = min(len(x), len(y))
+        x, y = folded(x, size).tobytes(), folded(y, size).tobytes()
+    apart = (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count()
+    return [([min(a, b)], [max(a, b)])] if apart <= (n_a + n_b) * (100 - percent) // (100 + percent) else []
+
+
 def candidates(sides: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(a, b): pairs across components that share a signature and may link.
     ``sides`` holds (sig, members, cls, n, component, bits); members fall into
@@ -217,10 +228,15 @@ def candidates(sides: DataFrame, percent: int = PERCENT) -> DataFrame:
             yield from pairs_of(held, [0, len(held)])
 
     def pairs_of(table: pa.Table, cuts: list[int]) -> Iterator[pa.RecordBatch]:
-        found = [x for at, end in zip(cuts, cuts[1:]) if end - at > 1 for x in _across(table.slice(at, end - at).to_pydict(), percent)]
+        column = [table[c].to_numpy() for c in ("n", "component", "cls", "own")]
+        bits, one_block, found = table["bits"].to_pylist(), table["lo"].to_numpy() == table["hi"].to_numpy(), []
+        for at, end in zip(cuts, cuts[1:]):
+            if end - at > 1:
+                of = _two if end - at == 2 else _across
+                found += of(*(c[at:end] for c in column), bits[at:end], bool(one_block[at]), percent)
         if found:
             a, b = (np.concatenate(x) for x in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return each.repartition(*key).sortWithinPartitions(*key).mapInArrow(compare, "a bigint, b bigint")
 

@@ -191,10 +191,12 @@ def judge(forest: list[tuple], threshold: float):
 def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, max_false: float = MAX_FALSE) -> tuple[list, float]:
     """(forest, threshold) from the labelled rows among ``documents``."""
     marks = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    rows = documents.select("doc_id", "text").join(marks, "doc_id") \
-                    .select("doc_id", "quality", text_statistics(F.col("text")).alias("s")) \
-                    .select("doc_id", "quality", "s.rates", "s.n_words", "s.n_repeat_words")
+    # statistics first: the join shuffles a few numbers a document, never its text,
+    # and by the hint does so at every size
+    rows = documents.select("doc_id", text_statistics(F.col("text")).alias("s")) \
+                    .select("doc_id", "s.rates", "s.n_words", "s.n_repeat_words")
     rows = rows.where((F.col("n_words") >= 10) & (F.col("n_repeat_words") * 100 <= F.col("n_words") * 20))
+    rows = rows.select("doc_id", "rates").hint("merge").join(marks, "doc_id")
     rows = stored(rows.select("doc_id", "quality", "rates"), "labelled-rates")
     box = rows.agg(*[f(F.col("rates")[k]) for f in (F.min, F.max) for k in range(len(RATES))]).first()
     good = rows.where("quality = 1").orderBy(F.xxhash64("doc_id"), "doc_id").select("rates").limit(fit_rows).collect()

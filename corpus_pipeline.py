@@ -15,6 +15,8 @@ from staylink.llm import byte_bpe, jaccard, mixing, quality, toxicity
 from staylink.llm.common import load, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Near copies: words of a shingle and least percent of common shingles (op9's query has its own).
+COPY_WORDS, COPY_PERCENT = 5, 80
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +35,7 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one of least doc_id (of rows that
     share it, one).  Rows without a doc_id or without words are in no group."""
-    groups = jaccard.jaccard_components(docs)
+    groups = jaccard.jaccard_components(docs, words=COPY_WORDS, percent=COPY_PERCENT)
     gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
     again = groups.where("doc_id is not null and n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")

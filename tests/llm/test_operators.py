@@ -273,3 +273,27 @@ def test_pipeline_stages(spark, docs, tmp_path):
             kept = sorted(r.doc_id for r in out.collect())
             assert 6 in kept and 7 not in kept and 8 not in kept and kept.count(6) == 1
     assert set(out.columns) == set(corpus_pipeline.COLUMNS)
+
+
+def test_pipeline_near_copies_against_all_pairs(spark):
+    """Copies of a five-word similarity of 0.8 or more go, also those below op9's own limit."""
+    rng = random.Random(11)
+    texts, between = [], 0
+    for _ in range(12):
+        base = words(rng, 200, 4000).split()
+        texts.append(base)
+        texts += [base + words(rng, extra, 4000).split() for extra in (10, 30, 38, 60)]
+        texts.append([w if i % 60 != 30 else f"new{rng.randrange(10 ** 6)}" for i, w in enumerate(base)])
+        texts.append([w if i % 25 != 12 else f"new{rng.randrange(10 ** 6)}" for i, w in enumerate(base)])
+    texts += [words(rng, rng.randrange(1, 12), 30).split() for _ in range(40)]
+    sets = {n: [{tuple(w[i:i + n]) for i in range(len(w) - n + 1)} or {tuple(w)} for w in texts] for n in (3, 5)}
+    comp = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        (x3, y3), (x, y) = (sets[3][a], sets[3][b]), (sets[5][a], sets[5][b])
+        if 100 * len(x & y) >= 80 * len(x | y):
+            between += 100 * len(x3 & y3) < 90 * len(x3 | y3)
+            lo, hi = sorted((comp[a], comp[b]))
+            comp = [lo if c == hi else c for c in comp]
+    df = spark.createDataFrame([(i, " ".join(w), "en", "a", 0, 0.5, True) for i, w in enumerate(texts)], DOCS)
+    kept = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect())
+    assert between >= 12 and kept == sorted(set(comp))

@@ -23,6 +23,7 @@ score.  Only doc_id and text are read.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_of, load, remainder, stored
+from .common import WordHash, bytes_of, load, remainder, stored
+from .jaccard import shingles
 
 #: The starting lexicon.
 LEXICON = ("idiot", "moron", "stupid", "loser", "trash", "scum", "clown", "pathetic", "worthless", "disgusting",
            "dumb", "garbage", "filth", "vermin", "coward", "imbecile", "bastard", "bitch", "cretin", "hate")
 FOLDS = 5
 FIT_ROWS = 20_000
-#: A stem is mined if it stands in this share of the unmarked toxic training rows and is so many times likelier there.
-MINED_SHARE, MINED_ODDS = 0.03, 10.0
+#: A stem is mined if it stands in so many classes of unmarked toxic training rows, is so many times likelier there,
+#: and that is chance for one of all candidates with at most this probability.
+MINED_SUPPORT, MINED_ODDS, MINED_CHANCE = 3, 10.0, 0.01
 #: Shortest and longest stem.
 STEM = (3, 8)
 _LETTERS = bytes(c if chr(c).isalpha() or c >= 0x80 else 32 for c in range(256))
@@ -110,13 +113,14 @@ def correlation_tree(v: np.ndarray, p: np.ndarray) -> list[int]:
                     1 - one[:, None] - one[None, :] + both
                 joint = np.clip(joint, 1e-9, 1)
                 info += mass / len(v) * joint * np.log(joint / np.clip(np.outer(pa_, pb), 1e-9, 1))
-    parent, inside = [-1] * k, [0]
-    while len(inside) < k:  # Prim's
-        out = [j for j in range(k) if j not in inside]
-        part = info[np.ix_(inside, out)]
-        i, j = np.unravel_index(part.argmax(), part.shape)
-        parent[out[j]] = inside[i]
-        inside.append(out[j])
+    parent, best, near = [-1] * k, info[0].copy(), np.zeros(k, int)
+    best[0] = -np.inf
+    for _ in range(k - 1):  # Prim's
+        j = int(best.argmax())
+        parent[j] = int(near[j])
+        closer = (info[j] > best) & (best > -np.inf)
+        best[closer], near[closer] = info[j][closer], j
+        best[j] = -np.inf
     return parent
 
 
@@ -163,68 +167,90 @@ def linear_classifier(x: np.ndarray, p: np.ndarray, ridge: float = 0.1, rounds:
     return w
 
 
-def stems_of(raw: bytes) -> dict:
-    """stem -> (a word that begins with it, the word before), for the first of each."""
-    out, before = {}, ""
-    for w in letter_words(raw):
-        w = w.decode(errors="replace").lower()
-        for n in range(STEM[0], min(STEM[1], len(w)) + 1):
-            out.setdefault(w[:n], (w, before))
-        before = w
-    return out
+def stems_of(raw: bytes) -> set:
+    """The beginnings of a text's words."""
+    words = {w.decode(errors="replace").lower() for w in letter_words(raw)}
+    return {w[:n] for w in words for n in range(STEM[0], min(STEM[1], len(w)) + 1)}
 
 
-def mined_stems(rows: DataFrame, share: float = MINED_SHARE, odds: float = MINED_ODDS, most_rows: int = FIT_ROWS) -> tuple:
+def class_of(raw: bytes, hashes: WordHash) -> int:
+    """The least hash of a text's three-word shingles, which copies share and most near copies."""
+    s = shingles(raw, hashes, 3)
+    return int(s.min().view(np.int64)) if len(s) else 0
+
+
+def significant(n: int, m: int, n1: int, n0: int, tests: int, odds: float = MINED_ODDS, chance: float = MINED_CHANCE) -> bool:
+    """Whether standing in n of n1 toxic and m of n0 clean classes is ``odds``
+    times likelier in toxic ones and no chance (Chernoff's bound of the binomial
+    tail, shared among ``tests``)."""
+    if (n + 0.5) / (n1 + 1) < odds * (m + 0.5) / (n0 + 1):
+        return False
+    share, q = n / (n + m), n1 / (n1 + n0)
+    apart = n * np.log(share / q) + (m * np.log((1 - share) / (1 - q)) if m else 0.0)
+    return share > q and apart >= np.log(tests / chance)
+
+
+def mined_stems(rows: DataFrame, support: int = MINED_SUPPORT, odds: float = MINED_ODDS, most_rows: int = FIT_ROWS) -> tuple:
     """Word beginnings that mark toxic rows which no lexicon word marks.
 
-    ``rows``: (doc_id, text, toxic).  A candidate stands in ``share`` of those
-    toxic rows - few do, by the pigeonhole - is ``odds`` times likelier there
-    than in clean rows, and meets many different words or left neighbours, so
-    that the rare words of one much-copied text are none.  Counts are over all
-    rows; the choice (best cover first) is made on at most ``most_rows`` rows."""
+    ``rows``: (doc_id, text, toxic).  Counts are of shingle classes, not of rows,
+    so that a much-copied text counts about once; a candidate stands in
+    ``support`` classes of those toxic rows and is :func:`significant` against
+    the clean ones.  No share of the rows is asked for: a stem that passes among
+    few rows passes among more of the same kind.  Counts are over all rows; the
+    choice (best cover first, until no class is left that a candidate covers) is
+    made on at most ``most_rows`` rows."""
     plain = Voters(LEXICON, ())
 
     @F.arrow_udf("boolean")
     def unmarked(texts: pa.Array) -> pa.Array:
         return pa.array([not any(map(plain.__getitem__, letter_words(b))) for b in bytes_of(texts)])
 
-    @F.arrow_udf("array<struct<stem: string, word: string, before: string>>")
-    def stems(texts: pa.Array) -> pa.Array:
-        return pa.array([[{"stem": s, "word": a, "before": b} for s, (a, b) in stems_of(t).items()] for t in bytes_of(texts)],
-                        pa.list_(pa.struct([("stem", pa.string()), ("word", pa.string()), ("before", pa.string())])))
-
-    toxic = rows.where("toxic = 1").where(unmarked(F.col("text")))
-    n1, n0 = toxic.count(), rows.where("toxic = 0").count()
-    if n1 < 3 or not n0:
+    def counted(known: frozenset | None = None):
+        """text -> (class, its stems among ``known`` and "", which every text has)."""
+        @F.arrow_udf("struct<cls: bigint, stems: array<string>>")
+        def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            hashes = WordHash()
+            for texts in parts:
+                raw = bytes_of(texts)
+                stems = [["", *(stems_of(b) if known is None else known & stems_of(b))] for b in raw]
+                yield pa.StructArray.from_arrays([pa.array([class_of(b, hashes) for b in raw], pa.int64()),
+                                                  pa.array(stems, pa.list_(pa.string()))], names=["cls", "stems"])
+        return of(F.col("text"))
+
+    def classes(df: DataFrame, known: frozenset | None = None) -> DataFrame:
+        return df.select(counted(known).alias("c")).select("c.cls", F.explode("c.stems").alias("stem")) \
+                 .groupBy("stem").agg(F.approx_count_distinct("cls").alias("n"))
+
+    toxic, clean = rows.where("toxic = 1").where(unmarked(F.col("text"))), rows.where("toxic = 0")
+    in_toxic = dict(classes(toxic).where(F.col("n") >= support).collect())
+    n1 = in_toxic.pop("", 0)
+    if not in_toxic:
         return ()
-    found = toxic.select(F.explode(stems(F.col("text"))).alias("s")).select("s.*").groupBy("stem") \
-                 .agg(F.count("*").alias("n"), F.approx_count_distinct("word").alias("words"),
-                      F.approx_count_distinct("before").alias("befores")) \
-                 .where((F.col("n") >= max(3.0, share * n1)) & ((F.col("words") >= 4) | (F.col("befores") >= 0.5 * F.col("n")))) \
-                 .collect()
-    in_toxic = {r["stem"]: r["n"] for r in found}
     known = frozenset(in_toxic)
-
-    @F.arrow_udf("array<string>")
-    def among(texts: pa.Array) -> pa.Array:
-        return pa.array([sorted(known & stems_of(b).keys()) for b in bytes_of(texts)], pa.list_(pa.string()))
-
-    in_clean = dict(rows.where("toxic = 0").select(F.explode(among(F.col("text"))).alias("s")).groupBy("s").count().collect())
-    good = {s for s, n in in_toxic.items() if (n + 0.5) / (n1 + 1) >= odds * (in_clean.get(s, 0) + 0.5) / (n0 + 1)}
-    cover = [good & set(r[0]) for r in toxic.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
-             .select(among(F.col("text"))).collect()]
-    chosen, least = [], max(2.0, 0.25 * share * len(cover))
-    while good:
-        gain = dict.fromkeys(good, 0)
-        for c in cover:
-            for s in c:
-                gain[s] += 1
-        best = max(sorted(gain), key=lambda s: (gain[s], -in_clean.get(s, 0), -len(s)))
-        if gain[best] < least:
-            break
-        chosen.append(best)
-        good.discard(best)
-        cover = [c & good for c in cover if best not in c]
+    in_clean = dict(classes(clean, known).collect())
+    n0 = in_clean.pop("", 0)
+    if not n0:
+        return ()
+    good = {s for s, n in in_toxic.items() if significant(n, in_clean.get(s, 0), n1, n0, len(known), odds)}
+    sample = toxic.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows).select(counted(frozenset(good)).alias("c"))
+    cover = {cls: set(stems[1:]) for cls, stems in sample.select("c.*").collect()}
+    stands: dict = {s: set() for s in good}
+    for cls, stems in cover.items():
+        for s in stems:
+            stands[s].add(cls)
+    rank = lambda s: (-len(stands[s]), in_clean.get(s, 0), len(s), s)
+    todo, chosen = [(rank(s), s) for s in good], []
+    heapq.heapify(todo)
+    while todo:
+        was, best = heapq.heappop(todo)
+        if was != rank(best):
+            heapq.heappush(todo, (rank(best), best))
+        elif stands[best]:
+            chosen.append(best)
+            for cls in tuple(stands[best]):
+                for s in cover[cls]:
+                    stands[s].discard(cls)
     return tuple(chosen)
 
 

@@ -179,6 +179,24 @@ def test_toxicity(spark):
     assert toxicity.toxicity(empty(df), empty(lab)).count() == 0
 
 
+def test_toxicity_mines_rare_and_fixed_insults(spark):
+    """One word form in one phrase, and insults of which each is rare, at two sizes."""
+    rng = random.Random(9)
+    insults = [f"{a}{b}uxq" for a in "bdfgklmnpr" for b in "aeio"]
+    for times in (2, 6):
+        rows = []
+        for i in range(2000 * times):
+            w, toxic, at = words(rng, 30).split(), int(i % 5 == 0), rng.randrange(30)
+            said = ["you", "are", "a", "zorgumak"] if i % 2 else ["hey", insults[i // 10 % 40]]
+            w[at:at] = said if toxic else said[:-1] if i % 2 else said[:1]
+            rows.append((i, " ".join(w), toxic))
+        rows += [(10 ** 6 + i, "solitary copied qwertyish " + rows[0][1].split("hey")[0], 1) for i in range(50)]  # one text, copied
+        stems = toxicity.mined_stems(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+        assert any("zorgumak".startswith(s) for s in stems)
+        assert all(any(x.startswith(s) for s in stems) for x in insults)
+        assert not any(x.startswith(s) for s in stems for x in ("solitary", "copied", "qwertyish"))
+
+
 def test_lm_scores(spark, docs, texts):
     got = {r.doc_id: r for r in ngram_lm.lm_scores(docs, shard_chars=4000).collect()}
     rows = docs.select("doc_id", "text").collect()

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import store_rows
 from .joins import ISLAND_BOXES, tag_island
 
 # Page rules of the four collectors and their minimum tile.
@@ -25,6 +26,8 @@ LEAF_RULES = {
 MIN_TILE_DEG = {"booking": 0.002, "holidu": 0.002, "vrbo": None, "airbnb": None}
 PAGE_SIZE = 18
 PAGE_CAP = 270
+#: Levels that a coordinate's double can tell apart.
+DOUBLE_BITS = 52
 
 
 def _boxes_df(spark, boxes):
@@ -107,6 +110,31 @@ def adaptive_tiles(points: DataFrame, boxes=ISLAND_BOXES, leaf_rule="booking", m
     return _tile_frame(visited.unionByName(empty.select(visited.columns)))
 
 
+def divided_tiles(points: DataFrame, boxes=ISLAND_BOXES, leaf_rule="airbnb", batch: int = 7) -> DataFrame:
+    """:func:`adaptive_tiles` of a rule without a minimum size, without a cap of
+    depth: after each ``batch`` of levels only the points of tiles that are still
+    over-full go on, until every leaf fits the rule or its points share one
+    coordinate."""
+    rule = LEAF_RULES[leaf_rule] if isinstance(leaf_rule, str) else leaf_rule
+    keys, depth = ["isla", "tx", "ty"], batch
+    tiles = adaptive_tiles(points, boxes, rule, None, depth)
+    while depth + batch <= DOUBLE_BITS:
+        over = tiles.where((F.col("depth") == depth) & (F.col("status") == "leaf") & ~rule(F.col("n"))).select(*keys)
+        held = _cells(points, boxes, depth).withColumnsRenamed({"ix": "tx", "iy": "ty"}).select(*keys, "lat", "lng").join(over, keys)
+        spread = held.groupBy(*keys).agg(*[f(c).alias(f"{c}_{f.__name__}") for c in ("lat", "lng") for f in (F.min, F.max)]) \
+                     .where("lat_min < lat_max or lng_min < lng_max").select(*keys)
+        held = store_rows(held.join(spread, keys), "tile-points")
+        if held.isEmpty():
+            break
+        points, open_ = held.select("lat", "lng"), held.select(*keys, F.lit(depth).alias("depth")).distinct()
+        # a tile's points are all here or none, so counts below it are whole
+        deeper = adaptive_tiles(points, boxes, rule, None, depth + batch).where(F.col("depth") > depth)
+        divided = tiles.join(open_, [*keys, "depth"], "left_semi").withColumn("status", F.lit("split"))
+        tiles = store_rows(tiles.join(open_, [*keys, "depth"], "left_anti").unionByName(divided).unionByName(deeper), "tiles")
+        depth += batch
+    return tiles
+
+
 def assign_tile(points: DataFrame, boxes=ISLAND_BOXES, leaf_rule="booking", min_deg="default",
                 max_depth: int = 10, id_col: str = "row_id") -> DataFrame:
     """Each point inside a box -> the tile where the descent stops (its leaf,

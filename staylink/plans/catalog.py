@@ -412,8 +412,8 @@ def q_assign_tile(spark, sf_dir):
 
 @query
 def q_page_plan(spark, sf_dir):
-    """Airbnb rule (<= 270, no minimum size, depth cap 7) -> pages of 18."""
-    return tl.page_plan(tl.adaptive_tiles(load_listings(spark, sf_dir), leaf_rule="airbnb", max_depth=7))
+    """Airbnb rule (<= 270, no minimum size) -> pages of 18."""
+    return tl.page_plan(tl.divided_tiles(load_listings(spark, sf_dir), leaf_rule="airbnb"))
 
 
 # --- features, pairs, matcher ------------------------------------------------------

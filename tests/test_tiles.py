@@ -57,3 +57,25 @@ def test_no_point_is_lost_at_the_depth_cap(spark):
     tiles = adaptive_tiles(df, boxes=BOX, leaf_rule=lambda n: n <= 270, min_deg=None, max_depth=6)
     planned = page_plan(tiles).select("tile", "n").distinct().collect()
     assert sum(r.n for r in planned) == len(rows)
+
+
+def test_dense_tiles_are_divided_until_they_fit(spark, monkeypatch):
+    from staylink.operators import tiles
+    from staylink.plans import catalog
+    rng = random.Random(6)
+    pts = [(0.3 + rng.random() / 2000, 0.3 + rng.random() / 2000) for _ in range(700)] + [(0.9, 0.9)] * 300
+    pts += [(0.6 + rng.random() / 10 ** 6, 0.6) for _ in range(600)] + [(rng.random(), rng.random()) for _ in range(400)]
+    df = spark.createDataFrame([(i, la, lo) for i, (la, lo) in enumerate(pts)], "row_id long, lat double, lng double")
+    monkeypatch.setattr(catalog, "load_listings", lambda spark, sf_dir: df)
+    for name in ("adaptive_tiles", "divided_tiles"):
+        if hasattr(tiles, name):
+            f = getattr(tiles, name)
+            monkeypatch.setattr(f, "__defaults__", (BOX, *f.__defaults__[1:]))
+    plan = {r.tile: r.n for r in catalog.QUERIES["page_plan"](spark, "").collect()}
+    found = 0
+    for tile, n in plan.items():
+        d, tx, ty = map(int, tile.split("/")[1:])
+        inside = [p for p in pts if int(p[1] * 2 ** d) == tx and int(p[0] * 2 ** d) == ty]
+        assert len(inside) == n and (n <= 270 or len(set(inside)) == 1)
+        found += n
+    assert found == len(pts)

@@ -25,11 +25,11 @@ def shared_dir(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
+def stored(df: DataFrame, tag: str, **options) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: cuts the
     lineage, survives executor loss, and keeps column pruning."""
     path = shared_dir(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

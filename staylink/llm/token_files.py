@@ -28,6 +28,7 @@ import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,7 @@ from .common import bytes_of, load, shared_dir, stored
 
 END = 2
 #: Bytes of text handled at once, words and ids remembered, ids of a block, bytes after which a new file starts.
-SLICE, WORDS, IDS, BLOCK, FILE = 2_000_000, 500_000, 4_000_000, 1 << 19, 32 << 20
+SLICE, WORDS, IDS, BLOCK, FILE = 1_000_000, 400_000, 4_000_000, 1 << 19, 32 << 20
 #: New words that go to the library as one text.
 TOGETHER = 64
 SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
@@ -277,23 +278,42 @@ class Ids:
     def __init__(self, description: str, end: int):
         from tokenizers import Tokenizer
         self.tokenizer, self.end = Tokenizer.from_str(description), end
-        self.by_word = cuts_at_space(json.loads(description))
-        self.forget()
-
-    def forget(self) -> None:
-        self.index, self.known = Numbers(), 0
-        self.flat, self.first, self.count = np.empty(1 << 16, np.uint32), np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
-        self.n_flat = 0
+        parts = json.loads(description)
+        self.by_word = cuts_at_space(parts)
+        self.lower = self.by_word and '"Lowercase"' in json.dumps(parts["normalizer"])
+        self.index, self.known, self.n_flat = Numbers(), 0, 0
+        self.flat, self.first, self.count, self.hits = np.empty(0, np.uint32), *np.zeros((3, 0), np.int64)
         assert self.index[b""] == 0  # what ends a document
         self.index.new.clear()
-        self.learn(np.array([self.end], np.uint32), np.array([1]))
+        self.learn(np.array([end], np.uint32), np.array([1]))
+
+    def forget(self) -> None:
+        """Keep half of the memory at most: words met more than once, the most
+        frequent first."""
+        many = np.flatnonzero(self.hits[1:self.known] > 1) + 1
+        kept = np.concatenate([[0], many[np.argsort(-self.hits[many], kind="stable")][:WORDS // 2]])
+        counts = self.count[kept]
+        if counts.sum() > IDS // 2:
+            kept, counts = kept[:1], counts[:1]
+        words, ids = list(self.index), self.gathered(kept)
+        self.index = Numbers()
+        self.index.update((words[k], n) for n, k in enumerate(kept.tolist()))
+        self.known, self.n_flat, self.hits[:] = 0, 0, 0
+        self.learn(ids, counts)
+
+    def gathered(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the words of these numbers, one after the other."""
+        counts = self.count[at]
+        ends = np.cumsum(counts)
+        return self.flat[np.repeat(self.first[at] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
 
     def learn(self, new: np.ndarray, counts: np.ndarray) -> None:
         n, m, total = self.known, self.known + len(counts), self.n_flat + len(new)
         if total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * total)
         if m > len(self.first):
-            self.first, self.count = np.resize(self.first, 2 * m), np.resize(self.count, 2 * m)
+            self.first, self.count, self.hits = (np.concatenate([x[:n], np.zeros(2 * m - n, np.int64)])
+                                                 for x in (self.first, self.count, self.hits))
         self.flat[self.n_flat:total] = new
         self.first[n:m], self.count[n:m] = self.n_flat + np.cumsum(counts) - counts, counts
         self.known, self.n_flat = m, total
@@ -324,18 +344,22 @@ class Ids:
             self.forget()
         words, ends = [], []
         for t in texts:
-            words += t.split()  # of bytes: at ASCII white space
+            words += (t.lower() if self.lower else t).split()  # of bytes: A-Z, ASCII white space
             words.append(b"")
             ends.append(len(words))
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.new:
             self.learn(*self.of_words(self.index.new))
             self.index.new.clear()
-        counts = self.count[at]
-        totals = np.cumsum(counts)
-        ids = self.flat[np.repeat(self.first[at] - totals + counts, counts) + np.arange(totals[-1] if len(totals) else 0)]
-        upto = totals[np.array(ends, np.int64) - 1]
-        return ids, np.diff(upto, prepend=0)
+        self.hits[:self.known] += np.bincount(at, minlength=self.known)
+        upto = np.cumsum(self.count[at])[np.array(ends, np.int64) - 1]
+        return self.gathered(at), np.diff(upto, prepend=0)
+
+
+@lru_cache(maxsize=1)
+def remembered(description: str, end: int) -> Ids:
+    """One for all tasks of a worker."""
+    return Ids(description, end)
 
 
 def runs(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -365,7 +389,7 @@ def encoded(docs: DataFrame, path: str, end: int = END, text: str = "text") -> t
     def ids(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are what runs side by side
-        model = Ids(description, end)
+        model = remembered(description, end)
         for texts in parts:
             out = []
             for run in runs(bytes_of(texts)):
@@ -420,7 +444,7 @@ def token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END, **op
     """Tokenizes ``docs``, writes the files to the folder ``path`` and reads
     them back; ``options`` go to the writer."""
     rows, size, width = encoded(docs, tokenizer, end)
-    rows = stored(rows.withColumns({"_hash": F.xxhash64("ids"), "_turn": F.monotonically_increasing_id()}), "token-ids")
+    rows = stored(rows.withColumns({"_hash": F.xxhash64("ids"), "_turn": F.monotonically_increasing_id()}), "token-ids", compression="zstd")
     write_ids(rows, path, by_frequency(rows, size, width), width, **options)
     return read_ids(docs.sparkSession, path)
 

@@ -60,6 +60,17 @@ def test_ids_are_those_of_whole_texts(name):
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [[*e.ids, 2] for e in whole.encode_batch(part, add_special_tokens=False)]
 
 
+def test_forgetting_keeps_ids_right(monkeypatch, tokenizer):
+    monkeypatch.setattr(tf, "WORDS", 40)
+    rng = random.Random(9)
+    model = tf.Ids(open(public.path(WORDS)).read(), 2)
+    for _ in range(60):
+        texts = [" ".join(f"{rng.choice('ab')}{min(rng.randrange(400), rng.randrange(400))}X" for _ in range(30)), ""]
+        ids, counts = model.of([t.encode() for t in texts])
+        assert ids.tolist() == [*tokenizer.encode(texts[0], add_special_tokens=False).ids, 2, 2] and counts[1] == 1
+    assert len(model.index) < 100
+
+
 def expected(tokenizer, rows):
     out, at = [], 0
     ids = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 2] for _, t in rows]

@@ -29,6 +29,7 @@ import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -87,14 +88,27 @@ def folder(uri: str):
     return FileSystem.from_uri(re.sub(r"^file:/+", "file:///", uri))
 
 
-def block_bytes(doc_ids: list, counts: list[int], ranks: np.ndarray) -> bytes:
+def cells(column: pa.Array) -> tuple[np.ndarray, memoryview]:
+    """(ends, bytes) of a binary column without nulls."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    return offsets[1:] - offsets[0], memoryview(data or b"")[offsets[0]:offsets[-1]]
+
+
+def column_of(ends: np.ndarray, data: bytes) -> pa.Array:
+    """The binary column of cells that end at ``ends``."""
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+
+
+def block_bytes(doc_ids: list, counts: np.ndarray, ranks: np.ndarray) -> bytes:
     """Documents, ids, control and data bytes; then doc ids with their null
     marks, ids per document, control bytes, data bytes."""
     control, data = pack(ranks)
     head = np.array([len(doc_ids), len(ranks), len(control), len(data)], "<u8")
     numbers = np.array([d or 0 for d in doc_ids], "<i8")
     nulls = np.array([d is None for d in doc_ids], np.uint8)
-    return b"".join([head.tobytes(), numbers.tobytes(), nulls.tobytes(), np.array(counts, "<u8").tobytes(),
+    return b"".join([head.tobytes(), numbers.tobytes(), nulls.tobytes(), counts.astype("<u8").tobytes(),
                      control.tobytes(), data.tobytes()])
 
 
@@ -137,32 +151,27 @@ class RankedIdsWriter(DataSourceArrowWriter):
         rank_of = np.empty(len(by_rank), np.uint32)
         rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
         partition, stem, files = TaskContext.get().partitionId(), uuid.uuid4().hex, []
-        out, held, n_held = None, [], 0
-
-        def flush():
-            nonlocal out, held, n_held
-            ids = np.frombuffer(b"".join(raw for _, raw in held), f"<u{self.width}")
-            body = block_bytes([d for d, _ in held], [len(raw) // self.width for _, raw in held], rank_of[ids])
-            if out is None:
-                files.append([f"part-{partition:06d}-{stem}-{len(files):05d}.rids", 0, 0])
-                out = fs.open_output_stream(f"{base}/{files[-1][0]}")
-                out.write(MAGIC)
-            out.write(body)
-            files[-1][1] += len(held)
-            files[-1][2] += len(ids)
-            if out.tell() >= self.file:
-                out.close()
-                out = None
-            held, n_held = [], 0
-
+        out = None
         for batch in batches:
-            for doc_id, raw in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
-                held.append((doc_id, raw))
-                n_held += len(raw) // self.width
-                if n_held >= self.block:
-                    flush()
-        if held:
-            flush()
+            doc_ids = batch["doc_id"].to_pylist()
+            ends, data = cells(batch["ids"])
+            ids, ends = np.frombuffer(data, f"<u{self.width}"), ends // self.width
+            first = 0
+            while first < len(doc_ids):  # whole documents, about ``block`` ids
+                before = ends[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(ends, before + self.block, "right")))
+                if out is None:
+                    files.append([f"part-{partition:06d}-{stem}-{len(files):05d}.rids", 0, 0])
+                    out = fs.open_output_stream(f"{base}/{files[-1][0]}")
+                    out.write(MAGIC)
+                counts = np.diff(ends[first:last], prepend=before)
+                out.write(block_bytes(doc_ids[first:last], counts, rank_of[ids[before:ends[last - 1]]]))
+                files[-1][1] += last - first
+                files[-1][2] += int(counts.sum())
+                first = last
+                if out.tell() >= self.file:
+                    out.close()
+                    out = None
         if out is not None:
             out.close()
         return Written(partition, files)
@@ -208,10 +217,10 @@ class RankedIdsReader(DataSourceReader):
         start = part.before
         with fs.open_input_stream(f"{base}/{part.name}") as f:
             for doc_ids, counts, ranks in blocks(f):
-                raw, ends = by_rank[ranks].tobytes(), np.cumsum(counts)
+                ends = np.cumsum(counts)
                 yield pa.record_batch({
                     "doc_id": pa.array(doc_ids, pa.int64()), "start": start + ends - counts, "n_tokens": counts,
-                    "ids": pa.array([raw[4 * (e - n):4 * e] for e, n in zip(ends.tolist(), counts.tolist())], pa.binary())})
+                    "ids": column_of(4 * ends, by_rank[ranks].tobytes())})
                 start += int(ends[-1])
 
 
@@ -281,11 +290,13 @@ class Ids:
         parts = json.loads(description)
         self.by_word = cuts_at_space(parts)
         self.lower = self.by_word and '"Lowercase"' in json.dumps(parts["normalizer"])
+        # no normalizer changes an ASCII word once its letters are lower-case
+        self.ascii = Tokenizer.from_str(json.dumps({**parts, "normalizer": None})) if self.by_word else None
         self.index, self.known, self.n_flat = Numbers(), 0, 0
         self.flat, self.first, self.count, self.hits = np.empty(0, np.uint32), *np.zeros((3, 0), np.int64)
         assert self.index[b""] == 0  # what ends a document
         self.index.new.clear()
-        self.learn(np.array([end], np.uint32), np.array([1]))
+        self.learn(np.zeros(1, int), np.array([end], np.uint32), np.array([1]))
 
     def forget(self) -> None:
         """Keep half of the memory at most: words met more than once, the most
@@ -299,7 +310,7 @@ class Ids:
         self.index = Numbers()
         self.index.update((words[k], n) for n, k in enumerate(kept.tolist()))
         self.known, self.n_flat, self.hits[:] = 0, 0, 0
-        self.learn(ids, counts)
+        self.learn(np.arange(len(kept)), ids, counts)
 
     def gathered(self, at: np.ndarray) -> np.ndarray:
         """The ids of the words of these numbers, one after the other."""
@@ -307,38 +318,45 @@ class Ids:
         ends = np.cumsum(counts)
         return self.flat[np.repeat(self.first[at] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
 
-    def learn(self, new: np.ndarray, counts: np.ndarray) -> None:
-        n, m, total = self.known, self.known + len(counts), self.n_flat + len(new)
+    def learn(self, at: np.ndarray, new: np.ndarray, counts: np.ndarray) -> None:
+        """The ids of the words of these numbers."""
+        n, m, total = self.known, len(self.index), self.n_flat + len(new)
         if total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * total)
         if m > len(self.first):
             self.first, self.count, self.hits = (np.concatenate([x[:n], np.zeros(2 * m - n, np.int64)])
                                                  for x in (self.first, self.count, self.hits))
         self.flat[self.n_flat:total] = new
-        self.first[n:m], self.count[n:m] = self.n_flat + np.cumsum(counts) - counts, counts
+        self.first[at], self.count[at] = self.n_flat + np.cumsum(counts) - counts, counts
         self.known, self.n_flat = m, total
 
-    def library(self, texts: list[str]) -> list:
-        return self.tokenizer.encode_batch(texts, add_special_tokens=False)
+    def learn_words(self, words: list[bytes]) -> None:
+        """The ids of the words met last, in order of their numbers."""
+        first = len(self.index) - len(words)
+        plain = np.fromiter(map(bytes.isascii, words), bool, len(words))
+        for tokenizer, which in ((self.ascii, plain), (self.tokenizer, ~plain)):
+            at = np.flatnonzero(which)
+            if len(at):
+                self.learn(first + at, *self.of_words(tokenizer, [words[k] for k in at.tolist()]))
 
-    def of_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def of_words(self, tokenizer, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, ids per word): each token of the joined words
         belongs to the word in which it begins."""
         words = [w.decode() for w in words]
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         every = range(0, len(words), TOGETHER)
-        ids, counts = [], np.zeros(len(words), np.int64)
-        for k, one in zip(every, self.library([" ".join(words[k:k + TOGETHER]) for k in every])):
-            ids.append(np.array(one.ids, np.uint32))
-            begins = np.fromiter((a for a, _ in one.offsets), np.int64, len(one))
-            ends = np.cumsum(lengths[k:k + TOGETHER])
-            counts[k:k + TOGETHER] = np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(ends))
-        return np.concatenate(ids), counts
+        parts = tokenizer.encode_batch([" ".join(words[k:k + TOGETHER]) for k in every], add_special_tokens=False)
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        ids = np.fromiter(chain.from_iterable(one.ids for one in parts), np.uint32, sizes.sum())
+        spans = np.fromiter(chain.from_iterable(chain.from_iterable(one.offsets for one in parts)), np.int64, 2 * sizes.sum())
+        base = np.concatenate([[0], ends[TOGETHER - 1::TOGETHER]])[:len(parts)]
+        begins = spans[::2] + np.repeat(base, sizes)
+        return ids, np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(words))
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids per text), the end id after each text."""
         if not self.by_word:
-            ids = [[*one.ids, self.end] for one in self.library([t.decode() for t in texts])]
+            ids = [[*one.ids, self.end] for one in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
             return np.fromiter((i for one in ids for i in one), np.uint32), np.fromiter(map(len, ids), np.int64)
         if len(self.index) > WORDS or self.n_flat > IDS:
             self.forget()
@@ -349,7 +367,7 @@ class Ids:
             ends.append(len(words))
         at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
         if self.index.new:
-            self.learn(*self.of_words(self.index.new))
+            self.learn_words(self.index.new)
             self.index.new.clear()
         self.hits[:self.known] += np.bincount(at, minlength=self.known)
         upto = np.cumsum(self.count[at])[np.array(ends, np.int64) - 1]
@@ -376,8 +394,10 @@ def runs(texts: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def encoded(docs: DataFrame, path: str, end: int = END, text: str = "text") -> tuple[DataFrame, int, int]:
-    """(rows (doc_id, ids), size of the vocabulary, bytes of an id): the ids of
-    each text and the end id, as little-endian unsigned integers."""
+    """(rows (doc_id, ids, seen), size of the vocabulary, bytes of an id): the ids
+    of each text and the end id, as little-endian unsigned integers; the last row
+    of a batch carries the counts of all its ids (pairs of 64-bit integers), so
+    that nobody has to read the ids again to count them."""
     from tokenizers import Tokenizer
     with open(path, encoding="utf-8") as f:
         description = f.read()
@@ -385,36 +405,43 @@ def encoded(docs: DataFrame, path: str, end: int = END, text: str = "text") -> t
     size = max(size, end + 1)
     width = 2 if size <= 1 << 16 else 4
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf("struct<ids: binary, seen: binary>")
     def ids(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks are what runs side by side
         model = remembered(description, end)
         for texts in parts:
-            out = []
+            raw, sizes, total = [], [np.zeros(0, np.int64)], np.zeros(size, np.int64)
             for run in runs(bytes_of(texts)):
                 all_ids, counts = model.of(run)
-                raw, ends = all_ids.astype(f"<u{width}").tobytes(), np.cumsum(counts)
-                out += [raw[width * (e - n):width * e] for e, n in zip(ends.tolist(), counts.tolist())]
-            yield pa.array(out, pa.binary())
+                total += np.bincount(all_ids, minlength=size)
+                raw.append(all_ids.astype(f"<u{width}").tobytes())
+                sizes.append(counts)
+            met = np.flatnonzero(total)
+            seen = [None] * (len(texts) - 1) + [np.stack([met, total[met]]).astype("<i8").tobytes()] * bool(len(texts))
+            yield pa.StructArray.from_arrays([column_of(width * np.cumsum(np.concatenate(sizes)), b"".join(raw)),
+                                              pa.array(seen, pa.binary())], names=["ids", "seen"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), ids(F.col(text).cast("string")).alias("ids")), size, width
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), ids(F.col(text).cast("string")).alias("_e"))
+    return rows.select("doc_id", "_e.ids", "_e.seen"), size, width
 
 
-def by_frequency(rows: DataFrame, size: int, width: int) -> np.ndarray:
+def by_frequency(rows: DataFrame, size: int) -> np.ndarray:
     """All ids, the most frequent first (ties: the smaller id).  Each task sends
     one count per id, and the vocabulary bounds what reaches the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for raw in batch["ids"]:
-                total += np.bincount(np.frombuffer(raw.as_buffer(), f"<u{width}"), minlength=size)
+            for raw in batch["seen"].to_pylist():
+                ids, n = np.frombuffer(raw, "<i8").reshape(2, -1)
+                total[ids] += n
         seen = np.flatnonzero(total)
         yield pa.record_batch({"id": seen, "n": total[seen]})
 
     counts = np.zeros(size, np.int64)
-    for r in rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():
+    sums = rows.where("seen is not null").select("seen").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    for r in sums.collect():
         counts[r["id"]] = r["n"]
     return np.lexsort((np.arange(size), -counts)).astype(np.uint32)
 
@@ -445,7 +472,7 @@ def token_files(docs: DataFrame, path: str, tokenizer: str, end: int = END, **op
     them back; ``options`` go to the writer."""
     rows, size, width = encoded(docs, tokenizer, end)
     rows = stored(rows.withColumns({"_hash": F.xxhash64("ids"), "_turn": F.monotonically_increasing_id()}), "token-ids", compression="zstd")
-    write_ids(rows, path, by_frequency(rows, size, width), width, **options)
+    write_ids(rows, path, by_frequency(rows, size), width, **options)
     return read_ids(docs.sparkSession, path)
 
 

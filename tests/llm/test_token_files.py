@@ -114,7 +114,7 @@ def test_ties_nulls_and_small_files(spark, tokenizer, tmp_path):
 def test_frequent_ids_come_first(spark, tmp_path):
     docs = spark.createDataFrame([(1, "b b b a"), (2, "b")], "doc_id long, text string")
     rows, size, width = tf.encoded(docs, public.path(WORDS))
-    by_rank = tf.by_frequency(rows.withColumn("n", F.lit(0)), size, width)
+    by_rank = tf.by_frequency(rows.withColumn("n", F.lit(0)), size)
     assert sorted(by_rank.tolist()) == list(range(size)) and by_rank[1] == 2  # "b" four times, the end twice
 
 

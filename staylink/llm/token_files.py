@@ -33,16 +33,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
-from .common import bytes_of, load, shared_dir, stored
+from .common import load, shared_dir, stored
 
 END = 2
 #: Bytes of text handled at once, words and ids remembered, ids of a block, bytes after which a new file starts.
-SLICE, WORDS, IDS, BLOCK, FILE = 1_000_000, 400_000, 4_000_000, 1 << 19, 32 << 20
+SLICE, WORDS, IDS, BLOCK, FILE = 4_000_000, 400_000, 4_000_000, 1 << 19, 32 << 20
 #: New words that go to the library as one text.
 TOGETHER = 64
 SCHEMA = "doc_id long, start long, n_tokens long, ids binary"
@@ -275,7 +276,7 @@ class Numbers(dict):
         super().__init__()
         self.new: list = []
 
-    def __missing__(self, word: bytes) -> int:
+    def __missing__(self, word: str) -> int:
         n = self[word] = len(self)
         self.new.append(word)
         return n
@@ -294,7 +295,7 @@ class Ids:
         self.ascii = Tokenizer.from_str(json.dumps({**parts, "normalizer": None})) if self.by_word else None
         self.index, self.known, self.n_flat = Numbers(), 0, 0
         self.flat, self.first, self.count, self.hits = np.empty(0, np.uint32), *np.zeros((3, 0), np.int64)
-        assert self.index[b""] == 0  # what ends a document
+        assert self.index[None] == 0  # what ends a document
         self.index.new.clear()
         self.learn(np.zeros(1, int), np.array([end], np.uint32), np.array([1]))
 
@@ -330,19 +331,18 @@ class Ids:
         self.first[at], self.count[at] = self.n_flat + np.cumsum(counts) - counts, counts
         self.known, self.n_flat = m, total
 
-    def learn_words(self, words: list[bytes]) -> None:
+    def learn_words(self, words: list[str]) -> None:
         """The ids of the words met last, in order of their numbers."""
         first = len(self.index) - len(words)
-        plain = np.fromiter(map(bytes.isascii, words), bool, len(words))
+        plain = np.fromiter(map(str.isascii, words), bool, len(words))
         for tokenizer, which in ((self.ascii, plain), (self.tokenizer, ~plain)):
             at = np.flatnonzero(which)
             if len(at):
                 self.learn(first + at, *self.of_words(tokenizer, [words[k] for k in at.tolist()]))
 
-    def of_words(self, tokenizer, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def of_words(self, tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words, ids per word): each token of the joined words
         belongs to the word in which it begins."""
-        words = [w.decode() for w in words]
         ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         every = range(0, len(words), TOGETHER)
         parts = tokenizer.encode_batch([" ".join(words[k:k + TOGETHER]) for k in every], add_special_tokens=False)
@@ -353,25 +353,29 @@ class Ids:
         begins = spans[::2] + np.repeat(base, sizes)
         return ids, np.bincount(np.searchsorted(ends, begins, "right"), minlength=len(words))
 
-    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, ids per text), the end id after each text."""
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids per text), the end id after each text; no
+        text is null."""
         if not self.by_word:
-            ids = [[*one.ids, self.end] for one in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
-            return np.fromiter((i for one in ids for i in one), np.uint32), np.fromiter(map(len, ids), np.int64)
+            ids = [[*one.ids, self.end] for one in self.tokenizer.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64)
         if len(self.index) > WORDS or self.n_flat > IDS:
             self.forget()
-        words, ends = [], []
-        for t in texts:
-            words += (t.lower() if self.lower else t).split()  # of bytes: A-Z, ASCII white space
-            words.append(b"")
-            ends.append(len(words))
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if self.lower else texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
         if self.index.new:
             self.learn_words(self.index.new)
             self.index.new.clear()
+        # a zero, the number of the end, after the words of each text
+        after = np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64) + 1) - 1
+        at = np.zeros(len(words) + len(after), np.int64)
+        there = np.ones(len(at), bool)
+        there[after] = False
+        at[there] = number[words.indices.to_numpy()]
         self.hits[:self.known] += np.bincount(at, minlength=self.known)
-        upto = np.cumsum(self.count[at])[np.array(ends, np.int64) - 1]
-        return self.gathered(at), np.diff(upto, prepend=0)
+        return self.gathered(at), np.diff(np.cumsum(self.count[at])[after], prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -380,17 +384,13 @@ def remembered(description: str, end: int) -> Ids:
     return Ids(description, end)
 
 
-def runs(texts: list[bytes]) -> Iterator[list[bytes]]:
-    """The texts in runs of about ``SLICE`` bytes."""
-    held, n = [], 0
-    for t in texts:
-        held.append(t)
-        n += len(t)
-        if n >= SLICE:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts, null ones empty, in runs of about ``SLICE`` bytes."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    run = np.cumsum(pc.binary_length(texts).to_numpy()) // SLICE
+    cuts = np.flatnonzero(np.diff(run, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(texts)]):
+        yield texts.slice(a, b - a)
 
 
 def encoded(docs: DataFrame, path: str, end: int = END, text: str = "text") -> tuple[DataFrame, int, int]:
@@ -412,7 +412,7 @@ def encoded(docs: DataFrame, path: str, end: int = END, text: str = "text") -> t
         model = remembered(description, end)
         for texts in parts:
             raw, sizes, total = [], [np.zeros(0, np.int64)], np.zeros(size, np.int64)
-            for run in runs(bytes_of(texts)):
+            for run in runs(texts):
                 all_ids, counts = model.of(run)
                 total += np.bincount(all_ids, minlength=size)
                 raw.append(all_ids.astype(f"<u{width}").tobytes())

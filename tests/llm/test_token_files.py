@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def test_ids_are_those_of_whole_texts(name):
     texts = ODD + ["".join(rng.choice(" \n\t'sS.,ab1é́Σ <|>?🙂") for _ in range(rng.randrange(60))) for _ in range(800)]
     model = tf.Ids(open(public.path(name)).read(), 2)
     for part in (texts, texts[::-1]):  # the second time from memory
-        ids, counts = model.of([t.encode() for t in part])
+        ids, counts = model.of(pa.array(part, pa.large_string()))
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [[*e.ids, 2] for e in whole.encode_batch(part, add_special_tokens=False)]
 
 
@@ -66,7 +67,7 @@ def test_forgetting_keeps_ids_right(monkeypatch, tokenizer):
     model = tf.Ids(open(public.path(WORDS)).read(), 2)
     for _ in range(60):
         texts = [" ".join(f"{rng.choice('ab')}{min(rng.randrange(400), rng.randrange(400))}X" for _ in range(30)), ""]
-        ids, counts = model.of([t.encode() for t in texts])
+        ids, counts = model.of(pa.array(texts, pa.large_string()))
         assert ids.tolist() == [*tokenizer.encode(texts[0], add_special_tokens=False).ids, 2, 2] and counts[1] == 1
     assert len(model.index) < 100
 

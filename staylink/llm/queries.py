@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, embeddings, extract, jaccard, merkle, mixing, ngram_lm, quality, token_counts, token_files, toxicity, urls
+from . import (byte_bpe, embeddings, extract, jaccard, merkle, mixing, ngram_lm, quality, token_counts, token_files, toxicity,
+               urls, whitening)
 
 QUERIES = {
     "op1_near_dedup": embeddings.op1_near_dedup,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_byte_bpe": byte_bpe.op8_byte_bpe,
     "op9_ngram_jaccard": jaccard.op9_ngram_jaccard,
     "op10_mixing": mixing.op10_mixing,
+    "op11_whitening": whitening.op11_whitening,
     "op12_token_files": token_files.op12_token_files,
     "op13_merkle": merkle.op13_merkle,
 }

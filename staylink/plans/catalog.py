@@ -475,6 +475,18 @@ def q_positive_pairs(spark, sf_dir):
     return pr.positive_pairs(training_rows(spark, sf_dir))
 
 
+@query
+def q_sample_positives(spark, sf_dir):
+    """Three of each group's pairs, uniform over all of them."""
+    d = load_listings(spark, sf_dir).withColumn("group_id", F.concat(F.col("tipo"), F.lit("/"), F.col("plataforma")))
+    return pr.sample_positives(d, k=3)
+
+
+@query
+def q_hard_negative_pairs_exhaustive(spark, sf_dir):
+    return pr.hard_negative_pairs(training_rows(spark, sf_dir), exhaustive=True)
+
+
 @query
 def q_pair_counts(spark, sf_dir):
     return q.pair_counts(pr.training_pairs(training_rows(spark, sf_dir)))

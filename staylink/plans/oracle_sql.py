@@ -410,41 +410,78 @@ p AS (SELECT a.row_id AS src, b.row_id AS dst,
       WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 0.5)
 SELECT src, dst, round(similarity, 6) AS similarity FROM p WHERE similarity >= 0.8"""
 
+
+def _number(*parts: str) -> str:
+    return "('0x' || substr(md5(" + " || '|' || ".join(parts) + "), 1, 15))::BIGINT"
+
+
+def floyd_ctes(src: str, out: str, k: int) -> str:
+    """CTEs: up to ``k`` of the pairs of each group of ``src`` (row_id, group_id)
+    as (group_id, i, j), by ranking positions and drawing pair numbers one by one."""
+    ctes = f"""{out}_pos AS (SELECT row_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY row_id) - 1 AS pos FROM {src} WHERE group_id IS NOT NULL),
+{out}_0 AS (SELECT group_id, count(*) * (count(*) - 1) // 2 AS n, CAST([] AS BIGINT[]) AS drawn FROM {out}_pos GROUP BY group_id HAVING count(*) > 1)"""
+    for t in range(k):
+        last = f"(greatest(n - {k}, 0) + {t})"
+        ctes += f""",
+{out}_{t + 1} AS (SELECT group_id, n, CASE WHEN {t} >= n THEN drawn WHEN list_contains(drawn, one) THEN list_append(drawn, {last}) ELSE list_append(drawn, one) END AS drawn
+  FROM (SELECT *, {_number("'42'", "group_id", f"'{t}'")} % ({last} + 1) AS one FROM {out}_{t}))"""
+    return ctes + f""",
+{out}_all AS (SELECT a.group_id, a.pos AS p, b.pos AS q, a.row_id AS i, b.row_id AS j FROM {out}_pos a JOIN {out}_pos b ON a.group_id = b.group_id AND a.pos < b.pos),
+{out} AS (SELECT a.group_id, a.i, a.j FROM {out}_all a JOIN {out}_{k} d ON a.group_id = d.group_id WHERE list_contains(d.drawn, a.q * (a.q - 1) // 2 + a.p))"""
+
+
 POSITIVES = f"""{SPLIT},
 tr AS (SELECT * FROM split WHERE NOT coalesce(contains(group_id, 'ANCH'), false) AND group_id IS NOT NULL),
-rk AS (SELECT row_id, group_id, row_number() OVER (PARTITION BY group_id ORDER BY md5('42|' || CAST(row_id AS VARCHAR)), row_id) AS rn FROM tr),
-pp AS (SELECT a.group_id, a.row_id AS i, b.row_id AS j FROM rk a JOIN rk b ON a.group_id = b.group_id AND a.row_id < b.row_id
-       WHERE a.rn <= 5 AND b.rn <= 5),
-pq AS (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY md5('42|' || CAST(i AS VARCHAR) || '|' || CAST(j AS VARCHAR))) AS pr FROM pp),
-pos AS (SELECT i, j, 1 AS label FROM pq WHERE pr <= 10)"""
+{floyd_ctes('tr', 'fl', 10)},
+pos AS (SELECT i, j, 1 AS label FROM fl)"""
 
 ORACLE["positive_pairs"] = f"WITH RECURSIVE {POSITIVES} SELECT * FROM pos"
+ORACLE["sample_positives"] = f"""WITH {LISTINGS}, lg AS (SELECT row_id, tipo || '/' || plataforma AS group_id FROM listings),
+{floyd_ctes('lg', 'fl', 3)}
+SELECT group_id, i, j FROM fl"""
 
 
 def _draw(turn: int) -> str:
     return f"('0x' || substr(md5('42|{turn}|' || CAST(id AS VARCHAR)), 1, 12))::BIGINT"
 
 
+def hard_ctes(out: str, draws: str) -> str:
+    """CTEs: the hard negatives drawn with ``draws`` numbers (all of them when
+    there are no more pairs than that)."""
+    return f"""{out}_n AS (SELECT CAST({draws} AS HUGEINT) AS draws),
+{out}_cut AS (SELECT *, CAST((upto - n) * draws // total AS BIGINT) AS lo, CAST(upto * draws // total AS BIGINT) AS hi FROM ccell, {out}_n),
+{out}_dr AS (SELECT DISTINCT c.capacidad, c.habitaciones, {_number("'42'", "CAST(t.range AS VARCHAR)")} % c.n AS r
+  FROM (SELECT unnest(range(0, CAST(draws AS BIGINT))) AS range FROM {out}_n) t JOIN {out}_cut c ON t.range >= c.lo AND t.range < c.hi),
+{out} AS (SELECT i, j FROM call WHERE (gi = gj) IS NOT TRUE AND ((SELECT draws FROM {out}_n) >= (SELECT max(total) FROM ccell)
+  OR (capacidad, habitaciones, q * (q - 1) // 2 + p) IN (SELECT (capacidad, habitaciones, r) FROM {out}_dr)))"""
+
+
 NEGATIVES = f"""{POSITIVES},
 hc AS (SELECT tr.row_id, tr.group_id, capacidad, coalesce(habitaciones, -1) AS habitaciones,
-              row_number() OVER (PARTITION BY capacidad, coalesce(habitaciones, -1) ORDER BY md5('42|' || CAST(tr.row_id AS VARCHAR)), tr.row_id) AS p
+              row_number() OVER (PARTITION BY capacidad, coalesce(habitaciones, -1) ORDER BY tr.row_id) - 1 AS p
        FROM tr WHERE capacidad IS NOT NULL),
-hard AS (SELECT least(a.row_id, b.row_id) AS i, greatest(a.row_id, b.row_id) AS j FROM hc a JOIN hc b
-         ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AND b.p > a.p AND b.p <= a.p + 32
-         WHERE a.group_id <> b.group_id),
+ccell AS (SELECT *, sum(n) OVER (ORDER BY capacidad, habitaciones) AS upto, sum(n) OVER () AS total
+          FROM (SELECT capacidad, habitaciones, CAST(count(*) * (count(*) - 1) // 2 AS HUGEINT) AS n FROM hc GROUP BY ALL HAVING count(*) > 1)),
+call AS (SELECT a.capacidad, a.habitaciones, a.p, b.p AS q, a.row_id AS i, b.row_id AS j, a.group_id AS gi, b.group_id AS gj
+         FROM hc a JOIN hc b ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AND a.p < b.p),
 ro AS (SELECT row_id, group_id, lat, lng, row_number() OVER (ORDER BY row_id) - 1 AS p, count(*) OVER () AS total FROM tr),
 dr AS (SELECT pi, pj + CASE WHEN pj >= pi THEN 1 ELSE 0 END AS pj FROM (
          SELECT {_draw(1)} % t.total AS pi, {_draw(2)} % (t.total - 1) AS pj
          FROM (SELECT range AS id FROM range(0, 70000)), (SELECT count(*) AS total FROM tr) t)),
 geo AS (SELECT a.row_id AS i, b.row_id AS j FROM dr JOIN ro a ON a.p = dr.pi JOIN ro b ON b.p = dr.pj
         WHERE a.group_id <> b.group_id AND {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng')} > 0.5),
-nr AS (SELECT i, j, row_number() OVER (ORDER BY md5('42|' || CAST(i AS VARCHAR) || '|' || CAST(j AS VARCHAR)), i, j) AS r
-       FROM (SELECT i, j FROM hard UNION SELECT i, j FROM geo)),
-tp AS (SELECT i, j, label FROM pos UNION ALL SELECT i, j, 0 FROM nr WHERE r <= 3 * (SELECT count(*) FROM pos)),
+{hard_ctes('hard', '12 * (SELECT count(*) FROM pos)')},
+nn AS (SELECT *, least(3 * np, h + g) AS k FROM (SELECT (SELECT count(*) FROM pos) AS np, (SELECT count(*) FROM (SELECT DISTINCT i, j FROM geo)) AS g,
+       (SELECT count(*) FROM call WHERE (gi = gj) IS NOT TRUE) AS h)),
+kk AS (SELECT k, (2 * k * h + h + g) // (2 * (h + g)) AS of_hard FROM nn),
+nr AS (SELECT i, j, side, row_number() OVER (PARTITION BY side ORDER BY md5('42|' || CAST(i AS VARCHAR) || '|' || CAST(j AS VARCHAR)), i, j) AS r
+       FROM (SELECT i, j, 'hard' AS side FROM hard UNION SELECT i, j, 'geo' AS side FROM geo)),
+tp AS (SELECT i, j, label FROM pos UNION ALL SELECT DISTINCT i, j, 0 FROM nr, kk WHERE r <= CASE side WHEN 'hard' THEN of_hard ELSE k - of_hard END),
 vg AS (SELECT group_id, row_number() OVER (ORDER BY md5('42|' || group_id), group_id) <= ceil(0.2 * count(*) OVER ()) AS val
        FROM (SELECT DISTINCT tr.group_id FROM tp JOIN tr ON tr.row_id = tp.i))"""
 
-ORACLE["hard_negative_pairs"] = f"WITH RECURSIVE {NEGATIVES} SELECT i, j, 0 AS label FROM hard"
+ORACLE["hard_negative_pairs"] = f"WITH RECURSIVE {NEGATIVES}, {hard_ctes('hd', '32 * (SELECT count(*) FROM hc)')} SELECT i, j, 0 AS label FROM hd"
+ORACLE["hard_negative_pairs_exhaustive"] = f"WITH RECURSIVE {NEGATIVES} SELECT i, j, 0 AS label FROM call WHERE (gi = gj) IS NOT TRUE"
 ORACLE["geo_negative_pairs"] = f"WITH RECURSIVE {NEGATIVES} SELECT i, j, 0 AS label FROM geo"
 ORACLE["training_pairs"] = f"WITH RECURSIVE {NEGATIVES} SELECT * FROM tp"
 ORACLE["pair_counts"] = f"WITH RECURSIVE {NEGATIVES} SELECT count(*) AS pairs, CAST(sum(label) AS BIGINT) AS positives FROM tp"

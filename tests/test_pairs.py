@@ -1,9 +1,9 @@
-"""Sampling of negatives and the island table join against plain Python."""
+"""The sample of negatives and the island table join against plain Python."""
 
 import hashlib
 
 from staylink.operators.joins import tag_island
-from staylink.operators.pairs import hard_negative_pairs, sample_negatives
+from staylink.operators.pairs import sample_negatives
 
 
 def _md5(*parts):
@@ -18,20 +18,6 @@ def test_sample_is_the_first_k_in_md5_order(spark):
         assert sorted(tuple(r) for r in sample_negatives(df, k).select("i", "j").collect()) == sorted(want)
 
 
-def test_hard_negatives_take_the_next_rows_of_the_cell(spark):
-    rows = [(i, f"g{i % 7}" if i % 10 else None, 2 + i % 2, 1) for i in range(60)] + [(60, "g1", None, 1)]
-    df = spark.createDataFrame(rows, "row_id long, group_id string, capacidad int, habitaciones int")
-    want = set()
-    for cap in (2, 3):
-        cell = sorted((r for r in rows if r[2] == cap), key=lambda r: _md5(42, r[0]))
-        for k, a in enumerate(cell):
-            for b in cell[k + 1:k + 5]:
-                if a[1] is None or b[1] is None or a[1] != b[1]:
-                    want.add((min(a[0], b[0]), max(a[0], b[0]), 0))
-    got = [tuple(r) for r in hard_negative_pairs(df, window=4).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
-
-
 def test_island_table_takes_the_first_box(spark):
     boxes = [("B", 39.0, 2.0, 40.0, 3.5, 2), ("A", 39.2, 2.2, 39.4, 2.4, 1), ("C", -1.0, -1.0, 0.0, 0.0, 3), ("none", 5.0, 5.0, 4.0, 6.0, 0)]
     pts = [(0, 39.3, 2.3), (1, 39.0, 2.0), (2, 40.0, 3.5), (3, 41.0, 3.0), (4, None, 2.3), (5, -0.5, -0.5), (6, 39.3, 2.3), (7, 4.5, 5.5)]

@@ -135,22 +135,31 @@ def divided_tiles(points: DataFrame, boxes=ISLAND_BOXES, leaf_rule="airbnb", bat
     return tiles
 
 
-def assign_tile(points: DataFrame, boxes=ISLAND_BOXES, leaf_rule="booking", min_deg="default",
-                max_depth: int = 10, id_col: str = "row_id") -> DataFrame:
-    """Each point inside a box -> the tile where the descent stops (its leaf,
-    or the ignored tile that swallowed it)."""
-    rule = LEAF_RULES[leaf_rule] if isinstance(leaf_rule, str) else leaf_rule
-    if min_deg == "default":
-        min_deg = MIN_TILE_DEG.get(leaf_rule) if isinstance(leaf_rule, str) else None
-    _, _, st, stop, _ = _tree(points, boxes, rule, min_deg, max_depth)
-    pts = _cells(points, boxes, max_depth).select(id_col, "isla", "ix", "iy")
-    D = max_depth
-    a = pts.join(stop, ["isla", "ix", "iy"]).select(
-        id_col, "isla", F.col("stop_depth").alias("depth"),
-        F.expr(f"shiftright(ix, {D} - stop_depth)").alias("tx"),
-        F.expr(f"shiftright(iy, {D} - stop_depth)").alias("ty"))
-    return a.join(st.select("isla", "depth", "tx", "ty", "status"), ["isla", "depth", "tx", "ty"]) \
-        .select(id_col, F.concat_ws("/", "isla", "depth", "tx", "ty").alias("tile"), "status")
+#: Depth of the coarse cells that tell which depths a point has to look at.
+COARSE = 6
+
+
+def assign_tile(points: DataFrame, tiles: DataFrame, boxes=ISLAND_BOXES, id_col: str = "row_id") -> DataFrame:
+    """Each point inside a box -> (id, tile, status): the tile of the given
+    table (``adaptive_tiles``, ``divided_tiles``, or a stored one) where the descent
+    stops.  Points need not be those that the tiles were made from.
+
+    A join on path prefixes: a point's path is its cell at the finest depth, a
+    tile is one of its prefixes.  Coarse cells first give the depths at which tiles
+    end below them (one to a few), so a point meets only tiles at those depths, by
+    equal keys; the tiles partition a box, so one matches."""
+    ends = tiles.where(F.col("status") != "split").select("isla", "depth", "tx", "ty", "tile", "status")
+    # tiles above the coarse depth cover several coarse cells, at most 4 ** COARSE of a box in all
+    spread = lambda t: F.explode(F.transform(F.sequence(F.lit(0), F.expr(f"cast(pow(2, greatest({COARSE} - depth, 0)) as int) - 1")),
+                                             lambda k: F.expr(f"shiftright(shiftleft({t}, greatest({COARSE} - depth, 0)), greatest(depth - {COARSE}, 0))") + k))
+    depths = (ends.select("isla", "depth", "ty", spread("tx").alias("_cx")).select("isla", "depth", "_cx", spread("ty").alias("_cy"))
+              .groupBy("isla", "_cx", "_cy").agg(F.collect_set("depth").alias("_depths")))
+    at = lambda c, d: F.expr(f"shiftright({c}, {DOUBLE_BITS} - {d})")
+    pts = _cells(points, boxes, DOUBLE_BITS).select(F.col(id_col), "isla", "ix", "iy",
+                                                    at("ix", COARSE).alias("_cx"), at("iy", COARSE).alias("_cy"))
+    pts = pts.join(depths, ["isla", "_cx", "_cy"]).select(id_col, "isla", "ix", "iy", F.explode("_depths").alias("depth"))
+    pts = pts.select(id_col, "isla", "depth", at("ix", "depth").alias("tx"), at("iy", "depth").alias("ty"))
+    return pts.join(ends, ["isla", "depth", "tx", "ty"]).select(id_col, "tile", "status")
 
 
 def page_plan(tiles: DataFrame, page_size: int = PAGE_SIZE, cap: int = PAGE_CAP) -> DataFrame:

@@ -407,7 +407,17 @@ def q_adaptive_tiles(spark, sf_dir):
 
 @query
 def q_assign_tile(spark, sf_dir):
-    return tl.assign_tile(load_listings(spark, sf_dir), leaf_rule="holidu")
+    """The Holidu tiles as a table of their own, and the points joined with it."""
+    d = load_listings(spark, sf_dir)
+    return tl.assign_tile(d, store_rows(tl.adaptive_tiles(d, leaf_rule="holidu"), "tile-table"))
+
+
+@query
+def q_assign_tile_divided(spark, sf_dir):
+    """Tiles divided for the Airbnb listings, all platforms' points joined with them."""
+    d = load_listings(spark, sf_dir)
+    tiles = store_rows(tl.divided_tiles(d.where("plataforma = 'airbnb'"), leaf_rule=lambda n: n <= 27), "tile-table")
+    return tl.assign_tile(d, tiles)
 
 
 @query

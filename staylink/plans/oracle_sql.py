@@ -328,14 +328,14 @@ BOXES_SQL = """bx(isla, box_lat0, box_lng0, box_lat1, box_lng1) AS (VALUES
  ('formentera', 38.579720345013094, 1.3865663541037065, 38.77151823526658, 1.5908027388515222))"""
 
 
-def tiles_ctes(rule: str, min_deg, D: int) -> str:
+def tiles_ctes(rule: str, min_deg, D: int, which: str = "") -> str:
     side = 1 << D
     small = f"depth >= {D}"
     if min_deg is not None:
         small += (f" OR (box_lat1 - box_lat0) / pow(2.0, depth) <= {min_deg}"
                   f" OR (box_lng1 - box_lng0) / pow(2.0, depth) <= {min_deg}")
     return f"""{BOXES_SQL},
-tp AS (SELECT l.*, {ISLANDS} AS isla FROM listings l WHERE lat IS NOT NULL AND lng IS NOT NULL),
+tp AS (SELECT l.*, {ISLANDS} AS isla FROM (SELECT * FROM listings {which}) l WHERE lat IS NOT NULL AND lng IS NOT NULL),
 tc AS (SELECT t.row_id, t.isla, least(CAST(floor((lng - box_lng0) / (box_lng1 - box_lng0) * {side}) AS BIGINT), {side - 1}) AS ix,
               least(CAST(floor((lat - box_lat0) / (box_lat1 - box_lat0) * {side}) AS BIGINT), {side - 1}) AS iy
        FROM tp t JOIN bx USING (isla)),
@@ -372,7 +372,13 @@ SELECT tc.row_id, tc.isla || '/' || CAST(stp.stop_depth AS VARCHAR) || '/' || CA
 FROM tc JOIN stp USING (isla, ix, iy)
 JOIN st ON st.isla = tc.isla AND st.depth = stp.stop_depth AND st.tx = tc.ix >> (10 - stp.stop_depth) AND st.ty = tc.iy >> (10 - stp.stop_depth)"""
 
-ORACLE["page_plan"] = f"""WITH {LISTINGS}, {tiles_ctes("n <= 270", None, 7)}
+ORACLE["assign_tile_divided"] = f"""WITH {LISTINGS}, {tiles_ctes("n <= 27", None, 24, "WHERE plataforma = 'airbnb'")},
+al AS (SELECT l.*, {ISLANDS} AS isla FROM listings l WHERE lat IS NOT NULL AND lng IS NOT NULL)
+SELECT al.row_id, tiles.tile, tiles.status FROM al JOIN bx USING (isla) JOIN tiles ON tiles.isla = al.isla AND tiles.status <> 'split'
+  AND CAST(floor((lat - box_lat0) / (box_lat1 - box_lat0) * pow(2.0, depth)) AS BIGINT) = ty
+  AND CAST(floor((lng - box_lng0) / (box_lng1 - box_lng0) * pow(2.0, depth)) AS BIGINT) = tx"""
+
+ORACLE["page_plan"] = f"""WITH {LISTINGS}, {tiles_ctes("n <= 270", None, 24)}
 SELECT tile, n, p.page, p.page * 18 AS item_offset
 FROM tiles, LATERAL (SELECT range::INTEGER AS page FROM range(0, CAST(floor(n / 18) AS BIGINT) + 1)) p
 WHERE status = 'leaf' AND n >= 1"""

@@ -79,3 +79,32 @@ def test_dense_tiles_are_divided_until_they_fit(spark, monkeypatch):
         assert len(inside) == n and (n <= 270 or len(set(inside)) == 1)
         found += n
     assert found == len(pts)
+
+
+RULES = {"booking": 0.002, "holidu": 0.002, "vrbo": None, "airbnb": None}
+
+
+def test_points_meet_the_tile_that_holds_them(spark):
+    """Against a scan of all tiles, for the four rules and the divided tiles;
+    the points are not those that the tiles come from."""
+    from staylink.operators.tiles import adaptive_tiles, assign_tile, divided_tiles
+    rng = random.Random(8)
+    boxes = [("b", 0.0, 0.0, 1.0, 1.0), ("c", 2.0, 2.0, 3.0, 4.0)]
+    dense = [(0.3 + rng.random() / 5000, 0.3 + rng.random() / 5000) for _ in range(900)]
+    made = [(rng.random() ** 3, rng.random()) for _ in range(500)] + dense + [(2 + rng.random(), 2 + 2 * rng.random()) for _ in range(80)]
+    other = made[::7] + [(rng.random(), rng.random()) for _ in range(200)] + [(1.0, 1.0), (0.0, 0.0), (3.0, 4.0), (2.5, 2.0), (5.0, 5.0), (None, 0.5)]
+    frame = lambda pts: spark.createDataFrame([(i, *p, "x") for i, p in enumerate(pts)], "row_id long, lat double, lng double, tile string")
+    source, points = frame(made).drop("tile"), frame(other)
+    tables = [adaptive_tiles(source, boxes, r, max_depth=10) for r in RULES] + [divided_tiles(source, boxes, lambda n: n <= 5)]
+    for tiles in tables:
+        want = {}
+        ends = [t for t in tiles.collect() if t.status != "split"]
+        edge = {"b": (1.0, 1.0), "c": (3.0, 4.0)}
+        for i, (la, lo) in enumerate(other):
+            hit = [t for t in ends if la is not None and (t.lat_min <= la < t.lat_max or la == t.lat_max == edge[t.isla][0])
+                   and (t.lng_min <= lo < t.lng_max or lo == t.lng_max == edge[t.isla][1])]
+            assert len(hit) == (0 if la in (None, 5.0) else 1)
+            if hit:
+                want[i] = (hit[0].tile, hit[0].status)
+        got = assign_tile(points, tiles, boxes).collect()
+        assert len(got) == len(want) and {r.row_id: (r.tile, r.status) for r in got} == want

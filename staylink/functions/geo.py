@@ -27,9 +27,10 @@ def unit_vector(lat, lng) -> tuple[Column, Column, Column]:
 
 
 def cosine_similarity(a, b) -> Column:
-    """dot(a, b) / (|a| |b|) over two equal-length numeric arrays, JVM-side."""
+    """dot(a, b) / (|a| |b|) over two equal-length numeric arrays, JVM-side; 0
+    if either is a zero vector."""
     a, b = col(a), col(b)
     dot = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
     na = F.aggregate(a, F.lit(0.0), lambda s, v: s + v * v)
     nb = F.aggregate(b, F.lit(0.0), lambda s, v: s + v * v)
-    return dot / (F.sqrt(na) * F.sqrt(nb))
+    return F.when((na == 0) | (nb == 0), F.lit(0.0)).otherwise(dot / (F.sqrt(na) * F.sqrt(nb)))

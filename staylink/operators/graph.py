@@ -7,6 +7,9 @@ with a reliable checkpoint into ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +65,7 @@ def connected_components(edges: DataFrame, vertices: "DataFrame | None" = None,
     return v.join(labels, vertex, "left").select(vertex, F.coalesce("component", F.col(vertex)).alias("component"))
 
 
-def seeds(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 10_000) -> DataFrame:
+def seed_rounds(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 10_000) -> DataFrame:
     """Seeds of the order-dependent scan: vertex i is a seed iff no smaller
     seed has an edge to it (the lexicographically first maximal independent
     set).  Decided in rounds: an undecided vertex with a smaller seed
@@ -95,18 +98,83 @@ def seeds(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int
     raise RuntimeError(f"seeds did not settle in {max_rounds} rounds")
 
 
+#: Edges up to which a component is scanned in one task (a few tens of megabytes there).
+SCANNED = 500_000
+
+
+class _Scan:
+    """The seed scan over the edges (a, b), a < b, of one component, in order."""
+
+    def __init__(self):
+        self.taken: set = set()
+        self.parent: dict = {}
+
+    def find(self, x: int) -> int:
+        parent = self.parent
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent.setdefault(up, up)
+        return x
+
+    def edge(self, a: int, b: int) -> None:
+        if a in self.taken:  # a seed before it took it, so its own edges hold nothing
+            return
+        self.taken.add(b)
+        lo, hi = sorted((self.find(a), self.find(b)))
+        self.parent[hi] = lo
+
+    def labels(self) -> list:
+        return [(x, self.find(x)) for x in self.parent]
+
+
+def _scan_components(edges: DataFrame, out: str) -> DataFrame:
+    """(node, out) of the scan over edges (component, a, b): each partition
+    streams through its components one after the other, in order of (a, b)."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done, at, state = [], None, _Scan()
+        pack = lambda rows: pa.record_batch({"node": [x for x, _ in rows], out: [y for _, y in rows]},
+                                            schema=pa.schema([("node", pa.int64()), (out, pa.int64())]))
+        for batch in batches:
+            for component, a, b in zip(*(batch[c].to_pylist() for c in ("component", "a", "b"))):
+                if component != at:
+                    done += state.labels()
+                    at, state = component, _Scan()
+                    if len(done) >= 50_000:
+                        yield pack(done)
+                        done = []
+                state.edge(a, b)
+        yield pack(done + state.labels())
+
+    return edges.repartition("component").sortWithinPartitions("component", "a", "b") \
+                .mapInArrow(scan, f"node long, {out} long")
+
+
 def cluster_seeded(vertices: DataFrame, edges: DataFrame, mode: str = "seeded", vertex: str = "row_id",
-                   src: str = "src", dst: str = "dst", out: str = "dup_group_id") -> DataFrame:
+                   src: str = "src", dst: str = "dst", out: str = "dup_group_id", scanned: int = SCANNED) -> DataFrame:
     """(row_id, dup_group_id): groups of the seed scan (``mode='seeded'``: a
     seed absorbs its larger neighbours; groups are components of the seed
     edges) or plain components of all edges (``mode='components'``).  The
-    label is the least ``row_id`` of the group."""
+    label is the least ``row_id`` of the group.
+
+    The scan never leaves a component of the graph, so components of up to
+    ``scanned`` edges are scanned whole, each in one task, and the rounds of
+    :func:`seed_rounds` are left for larger ones."""
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"))
-    if mode == "seeded":
-        s = seeds(e)
-        lo = e.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))
-        e = lo.join(s.where("is_seed").select(F.col("node").alias("src")), "src")
-    elif mode != "components":
+    if mode == "components":
+        return connected_components(e, vertices.select(vertex), vertex=vertex).withColumnRenamed("component", out)
+    if mode != "seeded":
         raise ValueError("mode must be 'seeded' or 'components'")
-    cc = connected_components(e, vertices.select(vertex), vertex=vertex)
-    return cc.withColumnRenamed("component", out)
+    e = cut_lineage(e.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
+                    .where("a <> b").distinct())
+    parts = connected_components(e, src="a", dst="b", vertex="a")
+    e = cut_lineage(e.join(parts, "a"))
+    large = cut_lineage(e.groupBy("component").count().where(F.col("count") > scanned).select("component"))
+    labels = _scan_components(e.join(large, "component", "left_anti"), out)
+    if not large.isEmpty():
+        rest = e.join(large, "component", "left_semi")
+        s = seed_rounds(rest, "a", "b").where("is_seed").select(F.col("node").alias("a"))
+        held = connected_components(rest.join(s, "a"), src="a", dst="b", vertex="node").withColumnRenamed("component", out)
+        labels = labels.unionByName(held)
+    v = vertices.select(vertex).distinct()
+    return v.join(labels.withColumnRenamed("node", vertex), vertex, "left") \
+            .select(vertex, F.coalesce(out, F.col(vertex)).alias(out))

@@ -3,6 +3,8 @@ from the driver's tables (the listing view is derived from ``orders``)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ..functions.text import fold_title, normalize_host, normalize_title
 from ..operators import filters as flt
 from ..operators import grouping as grp
 from ..operators import quality as q
-from ..session import store_rows
+from ..session import checkpoint_dir, store_rows
 from ..sources.tables import load_listings
 
 QUERIES: dict = {}
@@ -310,6 +312,12 @@ def q_cluster_seeded(spark, sf_dir):
     return cluster_seeded(t.select("row_id"), title_similarity_edges(t))
 
 
+@query
+def q_cluster_seeded_levenshtein(spark, sf_dir):
+    t = _title_input(spark, sf_dir)
+    return cluster_seeded(t.select("row_id"), title_similarity_edges(t, metric="levenshtein"))
+
+
 # --- ordering, sets ------------------------------------------------------------------
 
 @query
@@ -430,8 +438,9 @@ def q_page_plan(spark, sf_dir):
 
 from ..operators import features as ft  # noqa: E402
 from ..operators import pairs as pr  # noqa: E402
-from ..operators.matching import score_pairs, train_pair_scorer  # noqa: E402
+from ..operators.matching import PairModel, model_dedup, score_candidates, score_pairs, select_best_model  # noqa: E402
 from ..operators.similarity import model_similarity_edges  # noqa: E402
+from ..sources.csv_io import load_features, save_features  # noqa: E402
 
 
 def training_rows(spark, sf_dir):
@@ -448,6 +457,53 @@ def q_encode_categories(spark, sf_dir):
     return out.select("row_id", "plataforma_id", "tipo_id", "anfitrion_id")
 
 
+def fitted_on_some(spark, sf_dir, d: DataFrame) -> ft.FittedFeatures:
+    """Fitted on the Airbnb and Booking rows without hotels, saved and loaded:
+    the other platforms, their hosts and the hotels are unseen values."""
+    known = d.where("plataforma in ('airbnb', 'booking') and tipo <> 'Hotel' and row_id % 3 <> 0")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staylink_features/{uuid.uuid4().hex}"
+    save_features(known.select("row_id"), ft.FittedFeatures.fit(known), path)
+    return load_features(spark, path)[1]
+
+
+@query
+def q_load_features(spark, sf_dir):
+    """save_features -> load_features -> apply to every listing, unseen values
+    included."""
+    d = load_listings(spark, sf_dir)
+    out = fitted_on_some(spark, sf_dir, d).apply(d)
+    return out.select("row_id", "plat_id", "tipo_id", "host_id",
+                      *[F.round(c, 9).alias(c) for c in ("cap_scaled", "hab_scaled", "lat_scaled", "lon_scaled")])
+
+
+#: Weights of the pair model of the queries, given by hand so that SQL can score alike.
+FIXED_MODEL = PairModel(["plat_id", "tipo_id", "cap_scaled", "hab_scaled", "lat_scaled", "lon_scaled"],
+                        [-0.25, -1.5, -2.0, -2.0, -600.0, -400.0], [0.05, 0.1, 0.0, 0.0, 0.0, 0.0], 2.5)
+
+
+def model_input(spark, sf_dir):
+    d = load_listings(spark, sf_dir)
+    d = fitted_on_some(spark, sf_dir, d).apply(d).na.fill({"capacidad": -1, "habitaciones": -1})
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staylink_features/{uuid.uuid4().hex}"
+    FIXED_MODEL.save(spark, path)
+    return store_rows(d, "model-rows"), PairModel.load(spark, path)
+
+
+@query
+def q_score_pairs(spark, sf_dir):
+    """The persisted model over the 500 m candidates of equal configuration."""
+    d, model = model_input(spark, sf_dir)
+    near = jn.radius_join(d, 0.5, equal_on=["capacidad", "habitaciones"], null_equal=True)
+    return score_candidates(model, near.select("i", "j"), d).select("i", "j", F.round("similarity", 9).alias("similarity"))
+
+
+@query
+def q_model_dedup(spark, sf_dir):
+    """Candidates -> persisted model -> seeded clusters -> the first row of each."""
+    d, model = model_input(spark, sf_dir)
+    return model_dedup(d, model).select("row_id", "dup_group_id", "plataforma", "nombre")
+
+
 @query
 def q_scale_minmax(spark, sf_dir):
     d = load_listings(spark, sf_dir)
@@ -527,8 +583,8 @@ def q_training_pairs(spark, sf_dir):
 
 @query
 def q_pair_scorer_metrics(spark, sf_dir):
-    """Features -> training pairs -> group split -> logistic scorer ->
-    precision / recall / F1 on validation at 0.75."""
+    """Features -> training pairs -> group split -> the better of two logistic
+    scorers on validation -> precision / recall / F1 on validation at 0.75."""
     rows = training_rows(spark, sf_dir)
     enc, _ = ft.encode_categories(rows, ["plataforma", "tipo", "anfitrion"])
     enc = enc.withColumnRenamed("plataforma_id", "plat_id").withColumnRenamed("anfitrion_id", "host_id")
@@ -538,7 +594,7 @@ def q_pair_scorer_metrics(spark, sf_dir):
     pairs = store_rows(pr.training_pairs(rows), "pairs")
     feats = store_rows(feats.select("row_id", "features"), "features")
     train, val = pr.group_split(pairs, rows)
-    model = train_pair_scorer(train, feats)
+    _, model = select_best_model(train, val, feats, [{"regParam": 1e-4}, {"regParam": 1e-2}])
     return q.pair_metrics(score_pairs(model, val, feats), 0.75)
 
 

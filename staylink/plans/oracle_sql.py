@@ -412,7 +412,8 @@ e AS (SELECT l.row_id, l.lat, l.lng, coalesce(l.capacidad, -1) AS capacidad, coa
 p AS (SELECT a.row_id AS src, b.row_id AS dst,
              list_sum(list_transform(list_zip(a.v, b.v), lambda t: t[1] * t[2])) /
              (sqrt(list_sum(list_transform(a.v, lambda x: x * x))) * sqrt(list_sum(list_transform(b.v, lambda x: x * x)))) AS similarity
-      FROM e a JOIN e b ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AND a.row_id < b.row_id
+      FROM e a JOIN (SELECT *, unnest([-1, 0, 1]) AS off FROM e) b ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AND a.row_id < b.row_id
+       AND CAST(floor(a.lat / 0.01) AS BIGINT) = CAST(floor(b.lat / 0.01) AS BIGINT) + b.off
       WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 0.5)
 SELECT src, dst, round(similarity, 6) AS similarity FROM p WHERE similarity >= 0.8"""
 
@@ -498,3 +499,66 @@ FROM tp JOIN tr ON tr.row_id = tp.i JOIN vg USING (group_id)"""
 ORACLE["conform_listings"] = f"""WITH {LISTINGS}
 SELECT row_id, plataforma, CASE WHEN plataforma = 'airbnb' THEN NULL ELSE CAST(property_id AS VARCHAR) END AS listing_id,
        nombre, tipo, lat, lng, capacidad, habitaciones, licencia, anfitrion FROM listings"""
+
+
+def fitted_ctes() -> str:
+    """CTEs ``fz``: the listings with ids and scaled values fitted on the Airbnb
+    and Booking rows without hotels; unseen and missing values take the token."""
+    cats = {"plataforma": ("platform_desconocido", "plat_id"), "tipo": ("tipo_desconocido", "tipo_id"), "anfitrion": ("host_desconocido", "host_id")}
+    scaled = {"capacidad": ("cap_scaled", -1), "habitaciones": ("hab_scaled", -1), "lat": ("lat_scaled", 0.0), "lng": ("lon_scaled", 0.0)}
+    known = "kn AS (SELECT * FROM listings WHERE plataforma IN ('airbnb', 'booking') AND tipo <> 'Hotel' AND row_id % 3 <> 0)"
+    tables = [f"""k_{c} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS id FROM
+  (SELECT {c} AS v FROM kn WHERE {c} IS NOT NULL UNION SELECT '{t}' AS v))""" for c, (t, _) in cats.items()]
+    ids = ", ".join(f"coalesce(k_{c}.id, (SELECT id FROM k_{c} WHERE v = '{t}')) AS {out}" for c, (t, out) in cats.items())
+    fill = {"habitaciones": "coalesce(habitaciones, -1)"}
+    nums = ", ".join(f"(CAST(coalesce(l.{c}, {z}) AS DOUBLE) - (SELECT min({fill.get(c, c)}) FROM kn)) / (SELECT max({fill.get(c, c)}) - min({fill.get(c, c)}) FROM kn) AS {out}"
+                     for c, (out, z) in scaled.items())
+    joins = " ".join(f"LEFT JOIN k_{c} ON l.{c} = k_{c}.v" for c in cats)
+    return ",\n".join([LISTINGS, known, *tables, f"fz AS (SELECT l.*, {ids}, {nums} FROM listings l {joins})"])
+
+
+ORACLE["load_features"] = f"""WITH {fitted_ctes()}
+SELECT row_id, plat_id, tipo_id, host_id, round(cap_scaled, 9) AS cap_scaled, round(hab_scaled, 9) AS hab_scaled,
+       round(lat_scaled, 9) AS lat_scaled, round(lon_scaled, 9) AS lon_scaled FROM fz"""
+
+_Z = "2.5 " + " ".join(f"+ ({d}) * abs(a.{c} - b.{c}) + ({p}) * (a.{c} * b.{c})" for c, d, p in (
+    ("plat_id", -0.25, 0.05), ("tipo_id", -1.5, 0.1), ("cap_scaled", -2.0, 0.0), ("hab_scaled", -2.0, 0.0),
+    ("lat_scaled", -600.0, 0.0), ("lon_scaled", -400.0, 0.0)))
+
+SCORED = f"""{fitted_ctes()},
+fm AS (SELECT * REPLACE (coalesce(capacidad, -1) AS capacidad, coalesce(habitaciones, -1) AS habitaciones) FROM fz),
+sc AS (SELECT a.row_id AS i, b.row_id AS j, 1.0 / (1.0 + exp(-({_Z}))) AS similarity
+       FROM fm a JOIN (SELECT *, unnest([-1, 0, 1]) AS off FROM fm) b ON a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AND a.row_id < b.row_id
+        AND CAST(floor(a.lat / 0.01) AS BIGINT) = CAST(floor(b.lat / 0.01) AS BIGINT) + b.off
+       WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 0.5)"""
+
+ORACLE["score_pairs"] = f"WITH {SCORED} SELECT i, j, round(similarity, 9) AS similarity FROM sc"
+
+
+def seeded_ctes(edges: str, vertices: str, out: str) -> str:
+    """CTEs ``out`` (row_id, dup_group_id): the scan itself, component by
+    component, one vertex a step, then what its seeds hold together."""
+    return f"""{out}_e AS (SELECT least(src, dst) AS a, greatest(src, dst) AS b FROM {edges} WHERE src <> dst),
+{out}_b AS (SELECT a AS u, b AS v FROM {out}_e UNION SELECT b AS u, a AS v FROM {out}_e),
+{out}_r(node, lbl) AS (SELECT DISTINCT u, u FROM {out}_b UNION SELECT b.v, r.lbl FROM {out}_r r JOIN {out}_b b ON b.u = r.node),
+{out}_c AS (SELECT lbl, list(node ORDER BY node) AS nodes FROM (SELECT node, min(lbl) AS lbl FROM {out}_r GROUP BY node) GROUP BY lbl),
+{out}_up AS (SELECT a, list(DISTINCT b) AS larger FROM {out}_e GROUP BY a),
+{out}_s(lbl, nodes, k, seeds, taken) AS (SELECT lbl, nodes, 1, CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) FROM {out}_c
+  UNION ALL SELECT lbl, nodes, k + 1, CASE WHEN list_contains(taken, nodes[k]) THEN seeds ELSE list_append(seeds, nodes[k]) END,
+    CASE WHEN list_contains(taken, nodes[k]) THEN taken ELSE list_concat(taken, coalesce(larger, [])) END
+  FROM {out}_s LEFT JOIN {out}_up ON a = nodes[k] WHERE k <= len(nodes)),
+{out}_se AS (SELECT unnest(seeds) AS seed FROM {out}_s WHERE k = len(nodes) + 1),
+{out}_k AS (SELECT e.a AS u, e.b AS v FROM {out}_e e JOIN {out}_se ON e.a = seed UNION SELECT e.b, e.a FROM {out}_e e JOIN {out}_se ON e.a = seed),
+{out}_g(node, lbl) AS (SELECT row_id, row_id FROM {vertices} UNION SELECT k.v, g.lbl FROM {out}_g g JOIN {out}_k k ON k.u = g.node),
+{out} AS (SELECT node AS row_id, min(lbl) AS dup_group_id FROM {out}_g GROUP BY node)"""
+
+
+ORACLE["cluster_seeded_levenshtein"] = f"""WITH RECURSIVE {TITLE_PAIRS},
+{seeded_ctes('te', 'tt', 'cs')}
+SELECT row_id, dup_group_id FROM cs"""
+
+ORACLE["model_dedup"] = f"""WITH RECURSIVE {SCORED},
+me AS (SELECT i AS src, j AS dst FROM sc WHERE similarity >= 0.8),
+{seeded_ctes('me', 'fm', 'cs')}
+SELECT row_id, dup_group_id, plataforma, nombre FROM (SELECT fm.*, dup_group_id, row_number() OVER (PARTITION BY dup_group_id ORDER BY fm.row_id) AS rn
+  FROM fm JOIN cs USING (row_id)) WHERE rn = 1"""

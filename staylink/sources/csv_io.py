@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.features import FittedFeatures
+
 # Collector column names -> canonical names, per platform.
 CONFORM = {  # in each collector's written column order (CSV columns bind by position)
     "airbnb": {"Nombre": "nombre", "url": "url", "Precio": "precio", "Fechas": "fechas",
@@ -65,20 +67,13 @@ def write_listings(df: DataFrame, path: str, fmt: str = "parquet", partition_by=
     (w.option("header", True).option("escape", '"').csv(path) if fmt == "csv" else w.format(fmt).save(path))
 
 
-def save_features(df: DataFrame, fitted: dict, path: str) -> None:
-    """Rows + feature vectors as parquet; fitted class tables as parquet and
-    scaler bounds as a one-row-per-column table."""
-    spark = df.sparkSession
+def save_features(df: DataFrame, fitted: FittedFeatures, path: str) -> None:
+    """Rows with their feature vectors, and what was fitted, as Parquet."""
     df.write.mode("overwrite").parquet(f"{path}/rows")
-    for name, val in fitted.items():
-        if isinstance(val, DataFrame):
-            val.write.mode("overwrite").parquet(f"{path}/classes/{name}")
-        else:
-            spark.createDataFrame([(c, float(lo) if lo is not None else None, float(hi) if hi is not None else None)
-                                   for c, (lo, hi) in val.items()], "col string, lo double, hi double") \
-                 .write.mode("overwrite").parquet(f"{path}/scaler/{name}")
-
-
-def load_features(spark: SparkSession, path: str):
-    rows = spark.read.parquet(f"{path}/rows")
-    return rows, path
+    fitted.save(path)
+
+
+def load_features(spark: SparkSession, path: str) -> tuple[DataFrame, FittedFeatures]:
+    """The rows and the fitted parameters of :func:`save_features`, ready to be
+    applied to new rows."""
+    return spark.read.parquet(f"{path}/rows"), FittedFeatures.load(spark, path)

@@ -24,12 +24,12 @@ def naive_scan(n, edges):
     return sorted(sorted(g) for g in groups)
 
 
-def spark_partition(spark, n, edges, mode="seeded"):
+def spark_partition(spark, n, edges, mode="seeded", **options):
     v = spark.createDataFrame([(i,) for i in range(n)], "row_id long")
     e = spark.createDataFrame(edges or [(0, 0)], "src long, dst long")
     if not edges:
         e = e.limit(0)
-    out = cluster_seeded(v, e, mode=mode).collect()
+    out = cluster_seeded(v, e, mode=mode, **options).collect()
     groups = {}
     for r in out:
         groups.setdefault(r["dup_group_id"], set()).add(r["row_id"])
@@ -57,6 +57,30 @@ def test_seeded_matches_naive_loop(spark):
         assert labels_ok
 
 
+def test_large_components_take_the_rounds(spark):
+    """Small ones scanned, larger ones in rounds, together as the naive loop."""
+    rng = random.Random(11)
+    for scanned in (0, 3):
+        n = 40
+        edges = sorted({tuple(sorted(rng.sample(range(20), 2))) for _ in range(25)} | {(20, 21), (22, 23), (23, 24), (30, 39)})
+        got, labels_ok = spark_partition(spark, n, edges, scanned=scanned)
+        assert got == naive_scan(n, edges) and labels_ok
+
+
+def test_a_long_path_in_order_takes_few_rounds(spark, monkeypatch):
+    from staylink.operators import graph
+    cuts = []
+    cut = graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: cuts.append(1) or cut(df))
+    n = 100_000
+    v = spark.range(n).withColumnRenamed("id", "row_id")
+    e = spark.range(n - 1).selectExpr("id as src", "id + 1 as dst")
+    got = cluster_seeded(v, e)
+    # every second vertex is a seed and takes the next one
+    assert got.where("dup_group_id <> row_id - row_id % 2").isEmpty() and got.count() == n
+    assert len(cuts) < 30
+
+
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (7, 5), (5, 9), (10, 11)], "src long, dst long")
     v = spark.createDataFrame([(i,) for i in range(12)], "row_id long")

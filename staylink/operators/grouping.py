@@ -16,6 +16,7 @@ from ..functions.licence import licence_digits, licence_letters, with_canonical_
 from ..functions.text import normalize_host
 from ..session import store_rows
 from .filters import is_present
+from .spatial import least_sum_candidates
 
 
 def with_licence_columns(df: DataFrame, licence: str = "licencia", materialize: bool = True) -> DataFrame:
@@ -58,15 +59,18 @@ def key_summary(df: DataFrame, key: str, host: str, by=()) -> DataFrame:
 
 
 def medoid_anchor(df: DataFrame, key: str, host: str, lat: str = "lat", lng: str = "lng",
-                  summary: "DataFrame | None" = None, earth_km: float = EARTH_KM, by=()) -> DataFrame:
+                  summary: "DataFrame | None" = None, earth_km: float = EARTH_KM, by=(), exact: int = 4_000_000,
+                  grids=(32, 128, 512)) -> DataFrame:
     """Per key with a repeated dominant host: the dominant-host row with the
     least summed distance to every row of the key; sums equal to the
     millimetre tie to the first row; any missing coordinate in the key makes
     the first dominant row the anchor.  Returns (key, anchor_row).
 
     Rows are collapsed to distinct points with weights first (a row's distance
-    to itself is 0), so the work is distinct candidate points x distinct
-    points per key rather than rows x rows.
+    to itself is 0).  Keys with up to ``exact`` pairs of candidate and point are
+    summed out; in larger ones bounds from grids of cells, finer each time, first
+    leave the candidates that can be the medoid (:func:`least_sum_candidates`),
+    until those few are summed out, so no key is compared points by points.
     """
     ks = _by(by) + [key]
     if summary is None:
@@ -81,7 +85,20 @@ def medoid_anchor(df: DataFrame, key: str, host: str, lat: str = "lat", lng: str
               .select(*ks, F.col(lat).alias("_plat"), F.col(lng).alias("_plng"), "w"))
     cands = clean.where(F.col(host) == F.col("dom_host")).select(*ks, "row_id", lat, lng)
     cand_points = cands.select(*ks, lat, lng).distinct()
-    sums = (cand_points.join(points, ks)
+    size = points.groupBy(*ks).agg(F.count(F.lit(1)).alias("_np"))
+    for grid in grids:
+        work = cand_points.groupBy(*ks).agg(F.count(F.lit(1)).alias("_nc")).join(size, ks)
+        large = store_rows(work.where(F.col("_nc") > 1).where(F.col("_nc") * F.col("_np") > exact).select(*ks), "medoid-large")
+        if large.isEmpty():
+            break
+        named = lambda d, la, ln: d.join(large, ks, "left_semi").withColumnsRenamed({la: "lat", ln: "lng"})
+        left = least_sum_candidates(named(cand_points, lat, lng), named(points, "_plat", "_plng"), ks, grid)
+        cand_points = store_rows(cand_points.join(large, ks, "left_anti")
+                                 .unionByName(left.withColumnsRenamed({"lat": lat, "lng": lng})), "medoid-candidates")
+    # a large key's points are dealt to salted parts; its candidates, by now few, go to each
+    salts = 16
+    sums = (cand_points.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            .join(points.withColumn("_salt", F.pmod(F.xxhash64("_plat", "_plng"), F.lit(salts)).cast("int")), [*ks, "_salt"])
             .groupBy(*ks, lat, lng)
             .agg(F.sum(F.col("w") * haversine_km(lat, lng, "_plat", "_plng", earth_km)).alias("_dsum")))
     best = (cands.join(sums, ks + [lat, lng])
@@ -158,13 +175,14 @@ def drop_lone_unlicensed(df: DataFrame, group="group_id", licence: str = "licenc
 def first_per_group(df: DataFrame, group="group_id", order: str = "row_id") -> DataFrame:
     """First row (least ``order``) per group, null group included as a group.
 
-    An aggregate (``min_by`` of the whole row) rather than a window: partial
-    aggregation runs map-side, so a hot group never lands whole in one task.
+    ``order`` must be unique inside a group.  An aggregate rather than a window:
+    partial aggregation runs map-side, so a hot group never lands whole in one task.
     """
     g = _by(group)
-    cols = [c for c in df.columns if c not in g]
-    picked = df.groupBy(*g).agg(F.min_by(F.struct(*cols), F.col(order)).alias("_r"))
-    return picked.select(*[F.col("_r")[c].alias(c) if c not in g else F.col(c) for c in df.columns])
+    # least key per group by hash aggregation, whole rows only through the join
+    least = df.groupBy(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)]).agg(F.min(order).alias("_least"))
+    on = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(g)] + [F.col(order).eqNullSafe(F.col("_least"))]
+    return df.join(least, on, "left_semi")
 
 
 def first_seen(df: DataFrame, id_col: str, order: str = "row_id") -> DataFrame:

@@ -10,8 +10,8 @@ from ..functions.geo import EARTH_KM
 from ..functions.licence import with_canonical_license
 from ..session import store_rows
 from .graph import connected_components
-from .joins import radius_join
 from .ordering import add_row_id, union_listings
+from .spatial import linking_edges
 
 
 def split_groups_by_distance(df: DataFrame, km: float = 2.0, group: str = "group_id",
@@ -20,13 +20,13 @@ def split_groups_by_distance(df: DataFrame, km: float = 2.0, group: str = "group
     (a row without coordinates is its own cluster).  A group with more than
     one cluster gets ``_LOC{n}`` suffixes, n numbered by each cluster's first
     row.  Rows at identical coordinates are collapsed to one representative
-    first, so a building with many listings adds a star, not a clique.  Only
-    (row_id, group, lat, lng) go through the graph, written once."""
+    first, and :func:`linking_edges` links the rest with a number of edges linear
+    in the rows, however dense a group is.  Only (row_id, group, lat, lng) go
+    through the graph, written once."""
     keys = store_rows(df.select("row_id", group, "lat", "lng"), "split-keys")
     pts = keys.where(F.col(group).isNotNull() & F.col("lat").isNotNull() & F.col("lng").isNotNull())
     reps = pts.groupBy(group, "lat", "lng").agg(F.min("row_id").alias("rep"))
-    rep_edges = radius_join(reps.withColumnRenamed("rep", "row_id"), km, earth_km, equal_on=[group]) \
-        .select(F.col("i").alias("src"), F.col("j").alias("dst"))
+    rep_edges = linking_edges(reps.withColumnRenamed("rep", "row_id"), km, earth_km, group)
     members = pts.select("row_id", group, "lat", "lng").join(reps, [group, "lat", "lng"]) \
         .where(F.col("row_id") != F.col("rep")).select(F.col("rep").alias("src"), F.col("row_id").alias("dst"))
     cc = connected_components(rep_edges.unionByName(members), keys.select("row_id"))

@@ -90,7 +90,7 @@ from ..operators import joins as jn  # noqa: E402
 from ..operators import ordering as ordr  # noqa: E402
 from ..operators import survivors as sv  # noqa: E402
 from ..operators.graph import cluster_seeded, connected_components  # noqa: E402
-from ..operators.similarity import title_similarity_edges  # noqa: E402
+from ..operators.similarity import title_candidate_report, title_similarity_edges  # noqa: E402
 from . import dedup  # noqa: E402
 
 
@@ -260,6 +260,15 @@ def q_drop_lone_unlicensed(spark, sf_dir):
     return grp.drop_lone_unlicensed(d, ["plataforma", "group_id"]).select("row_id", "group_id")
 
 
+@query
+def q_drop_lone_unlicensed_by_host(spark, sf_dir):
+    """Groups of (platform, host, capacity, rooms): hundreds of them have one
+    unlicensed row, which goes."""
+    d = load_listings(spark, sf_dir)
+    d = d.withColumn("group_id", F.concat_ws("/", "anfitrion", F.col("property_id") % 97, "habitaciones"))
+    return grp.drop_lone_unlicensed(d, ["plataforma", "group_id"]).select("row_id", "group_id")
+
+
 @query
 def q_unlicensed_survivors(spark, sf_dir):
     d = load_listings(spark, sf_dir).withColumn("group_id", F.concat(F.lit("P"), F.col("property_id").cast("string")))
@@ -299,6 +308,28 @@ def q_title_similarity_edges(spark, sf_dir):
         .select("src", "dst", F.round("similarity", 6).alias("similarity"))
 
 
+def _loose_titles(spark, sf_dir):
+    """Titles without their numbers' first digits and places: neighbours of
+    other names, so that the title threshold rejects."""
+    t = _title_input(spark, sf_dir)
+    return t.withColumn("title_norm", F.regexp_replace("title_norm", "^(casa|villa|finca|hotel) ", ""))
+
+
+@query
+def q_title_candidate_report(spark, sf_dir):
+    """Pairs within 8 km of one platform, whatever their size: what the
+    bounds leave for the Python step."""
+    return title_candidate_report(_loose_titles(spark, sf_dir), radius_m=8000.0, on=())
+
+
+@query
+def q_title_edges_loose(spark, sf_dir):
+    """Levenshtein edges within 8 km at 0.8, of which the threshold rejects most."""
+    t = _loose_titles(spark, sf_dir)
+    return title_similarity_edges(t, radius_m=8000.0, threshold=0.8, metric="levenshtein").select(
+        "src", "dst", F.round("similarity", 6).alias("similarity"))
+
+
 @query
 def q_connected_components(spark, sf_dir):
     t = _title_input(spark, sf_dir)

@@ -192,6 +192,11 @@ pgf AS (SELECT *, bool_or(has_license) OVER (PARTITION BY plataforma, group_id)
 ORACLE["drop_lone_unlicensed"] = f"""WITH {PGROUP}
 SELECT row_id, group_id FROM pgf WHERE NOT (NOT has_license AND ghl AND nlc = 1)"""
 
+ORACLE["drop_lone_unlicensed_by_host"] = f"""WITH {LISTINGS},
+g AS (SELECT *, concat_ws('/', anfitrion, CAST(property_id % 97 AS VARCHAR), CAST(habitaciones AS VARCHAR)) AS group_id, {present('licencia')} AS has_license FROM listings),
+f AS (SELECT *, bool_or(has_license) OVER w AS any_license, count_if(NOT has_license) OVER w AS n FROM g WINDOW w AS (PARTITION BY plataforma, group_id))
+SELECT row_id, group_id FROM f WHERE has_license OR NOT any_license OR n <> 1"""
+
 ORACLE["unlicensed_survivors"] = f"""WITH {PGROUP},
 u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, group_id ORDER BY row_id) AS rn
                      FROM pgi WHERE licencia IS NULL) WHERE rn = 1)
@@ -216,6 +221,26 @@ te AS (SELECT * FROM ts WHERE similarity >= 0.7)"""
 ORACLE["title_edges_levenshtein"] = f"""WITH {TITLE_PAIRS}
 SELECT src, dst, round(similarity, 6) AS similarity FROM te"""
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+LOOSE = f"""{LISTINGS},
+lt AS (SELECT *, regexp_replace({title_norm('nombre')}, '^(casa|villa|finca|hotel) ', '') AS t, CAST(floor(lat / 0.08) AS BIGINT) AS bin FROM listings WHERE lat IS NOT NULL AND lng IS NOT NULL),
+lc AS (SELECT row_id, list_transform(range({len(LETTERS)}), lambda k: length(t) - length(replace(t, substr('{LETTERS}', CAST(k + 1 AS BIGINT), 1), ''))) AS cs,
+              length(translate(t, '{LETTERS}', '')) AS other FROM lt),
+lp AS (SELECT a.row_id AS src, b.row_id AS dst, a.plataforma, a.t AS ta, b.t AS tb, a.capacidad = b.capacidad AND a.habitaciones = b.habitaciones AS alike
+       FROM lt a JOIN (SELECT *, unnest([-1, 0, 1]) AS off FROM lt) b ON a.plataforma = b.plataforma AND a.bin = b.bin + b.off AND a.row_id < b.row_id
+       WHERE {haversine('a.lat', 'a.lng', 'b.lat', 'b.lng', R_INDEX)} <= 8.0)"""
+
+ORACLE["title_edges_loose"] = f"""WITH {LOOSE}
+SELECT src, dst, round(1.0 - levenshtein(ta, tb) / greatest(length(ta), length(tb)), 6) AS similarity FROM lp
+WHERE alike AND 1.0 - levenshtein(ta, tb) / greatest(length(ta), length(tb)) >= 0.8"""
+
+ORACLE["title_candidate_report"] = f"""WITH {LOOSE},
+lb AS (SELECT lp.plataforma, 2.0 * least(length(ta), length(tb)) / (length(ta) + length(tb)) AS by_length,
+  CAST(2.0 AS DOUBLE) * (list_sum(list_transform(list_zip(a.cs, b.cs), lambda p: least(p[1], p[2]))) + least(a.other, b.other)) / (length(ta) + length(tb)) AS by_letters
+  FROM lp JOIN lc a ON a.row_id = src JOIN lc b ON b.row_id = dst)
+SELECT plataforma, count(*) AS candidates, count_if(by_length >= 0.7) AS by_length, count_if(by_letters >= 0.7) AS by_letters,
+       round(count_if(by_letters >= 0.7) / count(*), 6) AS share FROM lb GROUP BY plataforma"""
+
 ORACLE["connected_components"] = f"""WITH RECURSIVE {TITLE_PAIRS},
 ue AS (SELECT src AS u, dst AS v FROM te UNION ALL SELECT dst AS u, src AS v FROM te),
 reach(node, lbl) AS (SELECT row_id, row_id FROM tt UNION SELECT ue.v, r.lbl FROM reach r JOIN ue ON ue.u = r.node)

@@ -380,7 +380,33 @@ def q_within_platform_dedup(spark, sf_dir):
 
 @query
 def q_cross_platform_dedup(spark, sf_dir):
-    return dedup.cross_platform_dedup(dedup.within_platform_dedup(load_listings(spark, sf_dir)))
+    return dedup.cross_platform_dedup(store_rows(dedup.within_platform_dedup(load_listings(spark, sf_dir)), "within"))
+
+
+@query
+def q_within_platform_dedup_levenshtein(spark, sf_dir):
+    return dedup.within_platform_dedup(load_listings(spark, sf_dir), metric="levenshtein")
+
+
+@query
+def q_cross_platform_dedup_levenshtein(spark, sf_dir):
+    within = dedup.within_platform_dedup(load_listings(spark, sf_dir), metric="levenshtein")
+    return dedup.cross_platform_dedup(store_rows(within, "within"))
+
+
+@query
+def q_platform_catalogue(spark, sf_dir):
+    """One platform's licensed, unlicensed and hostless rows, tagged."""
+    vrbo = [part.where("plataforma = 'vrbo'").drop("plataforma") for part in dedup.platform_parts(load_listings(spark, sf_dir), "levenshtein")]
+    return sv.platform_catalogue(*vrbo, platform="vrbo").select("row_id", "plataforma", "group_id", "licencia", "anfitrion", "nombre")
+
+
+@query
+def q_catalogue(spark, sf_dir):
+    """The parts of the catalogue, the licensed one given twice, de-duplicated."""
+    lic, unl, nohost = dedup.platform_parts(load_listings(spark, sf_dir), "levenshtein")
+    cols = ["row_id", "property_id", "plataforma", "group_id", "nombre"]
+    return dedup.catalogue(lic.select(*cols), unl.select(*cols), nohost.select(*cols[:3], "nombre"), lic.select(*cols))
 
 
 # --- payloads and pages ----------------------------------------------------------

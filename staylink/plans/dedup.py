@@ -17,7 +17,7 @@ from ..operators.graph import cluster_seeded
 from ..operators.joins import merge_numeric_letter
 from ..operators.ordering import union_listings
 from ..operators.similarity import title_similarity_edges
-from ..operators.survivors import hostless_groups, split_groups_by_distance
+from ..operators.survivors import hostless_groups, platform_catalogue, split_groups_by_distance
 
 LISTING_COLS = ["row_id", "property_id", "plataforma", "anfitrion", "licencia", "lat", "lng",
                 "capacidad", "habitaciones", "nombre", "tipo"]
@@ -49,7 +49,9 @@ def title_clusters(d: DataFrame, metric: str = "ratio") -> DataFrame:
     return cluster_seeded(t.select("row_id"), edges)
 
 
-def within_platform_dedup(df: DataFrame, metric: str = "ratio") -> DataFrame:
+def platform_parts(df: DataFrame, metric: str = "ratio") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(licensed survivors, unlicensed survivors, rows without a host) of every
+    platform."""
     d = holidu_cleanup(df.select(*LISTING_COLS))
     lic = licensed_survivors(d)
     cl = title_clusters(d, metric)
@@ -61,8 +63,11 @@ def within_platform_dedup(df: DataFrame, metric: str = "ratio") -> DataFrame:
     unl = grp.unlicensed_survivors(g2, by=["plataforma"])
     nohost = d.where(~flt.is_present("anfitrion"))
     cols = LISTING_COLS + ["group_id"]
-    full = union_listings(lic.select(*cols), unl.select(*cols), nohost.select(*LISTING_COLS))
-    return catalogue_filters(full)
+    return lic.select(*cols), unl.select(*cols), nohost.select(*LISTING_COLS)
+
+
+def within_platform_dedup(df: DataFrame, metric: str = "ratio") -> DataFrame:
+    return catalogue_filters(platform_catalogue(*platform_parts(df, metric)))
 
 
 def catalogue_filters(df: DataFrame) -> DataFrame:
@@ -78,7 +83,7 @@ def cross_platform_dedup(df: DataFrame) -> DataFrame:
     """Lone-unlicensed drop on the incoming groups -> unlicensed survivors;
     licence/platform groups with medoid anchors -> numeric/lettered merge ->
     2 km split -> first per group; no-host rows whose licence is known leave;
-    union, de-duplicated."""
+    union."""
     nh = hostless_groups(df)
     unl = grp.drop_lone_unlicensed(df, "group_id")
     unl = grp.first_per_group(unl.where(F.col("licencia").isNull()), "group_id")
@@ -89,8 +94,9 @@ def cross_platform_dedup(df: DataFrame) -> DataFrame:
     g = split_groups_by_distance(g, 2.0)
     surv = grp.first_per_group(g, "group_id")
     nh = grp.drop_hostless_known(nh, surv)
+    # row ids are unique in each part and group ids differ between the parts, so no two rows are equal
     cols = OUT_COLS
-    return union_listings(surv.select(*cols), unl.select(*cols), nh.select(*cols)).distinct()
+    return union_listings(surv.select(*cols), unl.select(*cols), nh.select(*cols))
 
 
 def catalogue(*dfs: DataFrame) -> DataFrame:

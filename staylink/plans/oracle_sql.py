@@ -587,3 +587,49 @@ me AS (SELECT i AS src, j AS dst FROM sc WHERE similarity >= 0.8),
 {seeded_ctes('me', 'fm', 'cs')}
 SELECT row_id, dup_group_id, plataforma, nombre FROM (SELECT fm.*, dup_group_id, row_number() OVER (PARTITION BY dup_group_id ORDER BY fm.row_id) AS rn
   FROM fm JOIN cs USING (row_id)) WHERE rn = 1"""
+
+
+COLS = "row_id, property_id, plataforma, anfitrion, licencia, lat, lng, capacidad, habitaciones, nombre, tipo"
+OUT_COLS = f"{COLS}, group_id, _license_norm, licencia_letras, licencia_numeros"
+
+WITHIN = f"""{LISTINGS},
+wd AS (SELECT * REPLACE (CASE WHEN plataforma = 'holidu' AND licencia = 'No proporcionado' THEN '' ELSE licencia END AS licencia) FROM listings
+       WHERE NOT (plataforma = 'holidu' AND coalesce(regexp_matches(anfitrion, 'Vrbo|Booking.com'), false))),
+wl0 AS (SELECT * FROM wd WHERE {present('anfitrion')} AND {present('licencia')}),{licence_ctes('wl0', 'wl1')},
+wl2 AS (SELECT *, {host_norm('anfitrion')} AS _host_norm FROM wl1),{grouping_ctes('wl2', 'wl', '_license_norm', '_host_norm', ['plataforma'], True)},
+wlic AS (SELECT {COLS}, group_id FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, group_id ORDER BY row_id) AS rn FROM wl) WHERE rn = 1),
+{TITLE_PAIRS[len(LISTINGS) + 2:].replace('FROM listings', 'FROM wd')},
+{seeded_ctes('te', 'tt', 'wc')},
+wt0 AS (SELECT wd.*, CAST(dup_group_id AS VARCHAR) AS _license_norm, {host_norm('anfitrion')} AS _host_norm FROM wd JOIN wc USING (row_id) WHERE {present('anfitrion')}),
+{grouping_ctes('wt0', 'wt', '_license_norm', '_host_norm', ['plataforma'], False)},
+wt1 AS (SELECT *, {present('licencia')} AS has FROM wt),
+wt2 AS (SELECT *, bool_or(has) OVER w AS any_has, count_if(NOT has) OVER w AS lone FROM wt1 WINDOW w AS (PARTITION BY plataforma, group_id)),
+wunl AS (SELECT {COLS}, group_id || 'Na' AS group_id FROM (SELECT *, row_number() OVER (PARTITION BY plataforma, group_id ORDER BY row_id) AS rn
+         FROM wt2 WHERE licencia IS NULL AND NOT (NOT has AND any_has AND lone = 1)) WHERE rn = 1),
+wnoh AS (SELECT {COLS}, NULL AS group_id FROM wd WHERE NOT {present('anfitrion')})"""
+
+FILTERED = f"""{WITHIN},
+wall AS (SELECT * FROM wlic UNION ALL SELECT * FROM wunl UNION ALL SELECT * FROM wnoh),{licence_ctes('wall', 'wf')},
+wp AS (SELECT {OUT_COLS} FROM wf
+ WHERE NOT (coalesce(licencia_letras IN {EXCL_LETTERS}, false) OR coalesce(contains(upper(licencia_letras), 'EDIFICI'), false))
+  AND NOT coalesce(tipo IN {EXCL_TYPES}, false) AND capacidad IS NOT NULL)"""
+
+ORACLE["within_platform_dedup_levenshtein"] = f"WITH RECURSIVE {FILTERED} SELECT * FROM wp"
+ORACLE["platform_catalogue"] = f"""WITH RECURSIVE {WITHIN}
+SELECT row_id, plataforma, group_id, licencia, anfitrion, nombre FROM (SELECT * FROM wlic UNION ALL SELECT * FROM wunl UNION ALL SELECT * FROM wnoh)
+WHERE plataforma = 'vrbo'"""
+ORACLE["catalogue"] = f"""WITH RECURSIVE {WITHIN}
+SELECT row_id, property_id, plataforma, group_id, nombre FROM wlic UNION SELECT row_id, property_id, plataforma, group_id, nombre FROM wunl
+UNION SELECT row_id, property_id, plataforma, group_id, nombre FROM wnoh"""
+
+ORACLE["cross_platform_dedup_levenshtein"] = f"""WITH RECURSIVE {FILTERED},
+cin AS (SELECT {COLS} FROM wp),
+cu1 AS (SELECT *, {present('licencia')} AS has FROM wp),
+cu2 AS (SELECT *, bool_or(has) OVER w AS any_has, count_if(NOT has) OVER w AS lone FROM cu1 WINDOW w AS (PARTITION BY group_id)),
+cunl AS (SELECT {OUT_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY row_id) AS rn FROM cu2
+         WHERE licencia IS NULL AND (group_id IS NULL OR NOT (NOT has AND any_has AND lone = 1))) WHERE rn = 1),
+{SPLIT[len(LISTINGS) + 2:].replace('FROM listings', 'FROM cin')},
+surv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY row_id) AS rn FROM split) WHERE rn = 1),
+{NOHOST.replace('FROM listings', 'FROM cin')},
+cnoh AS (SELECT {OUT_COLS} FROM nh WHERE _license_norm NOT IN (SELECT _license_norm FROM surv WHERE _license_norm IS NOT NULL))
+SELECT {OUT_COLS} FROM surv UNION ALL SELECT {OUT_COLS} FROM cunl UNION ALL SELECT {OUT_COLS} FROM cnoh"""

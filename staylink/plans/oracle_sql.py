@@ -560,6 +560,13 @@ sc AS (SELECT a.row_id AS i, b.row_id AS j, 1.0 / (1.0 + exp(-({_Z}))) AS simila
 ORACLE["score_pairs"] = f"WITH {SCORED} SELECT i, j, round(similarity, 9) AS similarity FROM sc"
 
 
+ORACLE["pair_metrics"] = f"""WITH {SCORED},
+lb AS (SELECT a.plataforma, similarity > 0.75 AS yes, a.property_id = b.property_id AS same FROM sc JOIN listings a ON a.row_id = sc.i JOIN listings b ON b.row_id = sc.j),
+ct AS (SELECT plataforma, count_if(yes AND same) AS tp, count_if(yes AND NOT same) AS fp, count_if(NOT yes AND same) AS fn FROM lb GROUP BY plataforma)
+SELECT plataforma, tp, fp, fn, round(coalesce(tp / nullif(tp + fp, 0), 0.0), 9) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0.0), 9) AS recall,
+       round(coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0), 9) AS f1 FROM ct"""
+
+
 def seeded_ctes(edges: str, vertices: str, out: str) -> str:
     """CTEs ``out`` (row_id, dup_group_id): the scan itself, component by
     component, one vertex a step, then what its seeds hold together."""

@@ -34,25 +34,33 @@ def collector_schema(platform: str) -> str:
     return ", ".join(f"`{src}` {types.get(dst, 'string')}" for src, dst in CONFORM[platform].items())
 
 
-def conform_listings(df: DataFrame, platform: str) -> DataFrame:
+def conform_listings(df: DataFrame, platform: str, keep=()) -> DataFrame:
     """Rename and cast one collector's columns to the canonical schema; columns
-    a collector does not produce are null; the platform is stamped."""
+    a collector does not produce are null; the platform is stamped.  Columns in
+    ``keep`` (and a ``row_id``) stay as they are."""
     m = CONFORM[platform]
     inv = {dst: src for src, dst in m.items()}
     cols = [F.lit(platform).alias("plataforma")]
     for name, typ in CANONICAL:
         src = inv.get(name)
         cols.append((F.col(f"`{src}`") if src in df.columns else F.lit(None)).cast(typ).alias(name))
-    keep = [c for c in ("row_id",) if c in df.columns]
-    return df.select(*keep, *cols)
-
-
-def read_listings_csv(spark: SparkSession, path: str, platform: str) -> DataFrame:
-    """Header CSV with the collector's declared schema (never inferred);
-    quoted multi-line fields allowed."""
-    raw = (spark.read.schema(collector_schema(platform)).option("header", True).option("multiLine", True)
-           .option("escape", '"').csv(path))
-    return conform_listings(raw, platform)
+    first = [c for c in ("row_id",) if c in df.columns]
+    return df.select(*first, *cols, *keep)
+
+
+def read_listings_csv(spark: SparkSession, path: str, platform: str, multiline: bool = True,
+                      rejected: "str | None" = None) -> DataFrame:
+    """Header CSV with the collector's declared schema (never inferred).
+
+    Quoted fields may hold line breaks, for which Spark reads a file in one task;
+    ``multiline=False`` is for files without such fields and splits them.
+    ``rejected`` names a column with the raw text of rows that do not fit the
+    schema (their values that do are kept), null for all others."""
+    schema = collector_schema(platform) + (f", `{rejected}` string" if rejected else "")
+    read = (spark.read.schema(schema).option("header", True).option("multiLine", multiline).option("escape", '"')
+            .option("mode", "PERMISSIVE"))
+    raw = (read.option("columnNameOfCorruptRecord", rejected) if rejected else read).csv(path)
+    return conform_listings(raw, platform, keep=(rejected,) if rejected else ())
 
 
 def write_listings(df: DataFrame, path: str, fmt: str = "parquet", partition_by=("plataforma",)) -> None:

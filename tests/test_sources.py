@@ -65,6 +65,23 @@ def test_read_listings_csv(spark, tmp_path):
         ("bk1", 'Casa, "A"', "Villa", "booking", "2025-06-24")
 
 
+def test_rejected_rows_and_split_files(spark, tmp_path):
+    p = tmp_path / "holidu.csv"
+    head = "id,lat,lng,nombre,habitaciones,capacidad,tipo,licencia,anfitrion,url,fecha,isla\n"
+    good = "".join(f"h{i},39.5,2.6,Casa,2,4,Villa,ETV/{i},Ana,u,2025-06-24,ibiza\n" for i in range(300))
+    bad = "hx,north,2.6,Casa,2,four,Villa,ETV/9,Ana,u,2025-06-24,ibiza\n"
+    p.write_text(head + good + bad, encoding="utf-8")
+    got = read_listings_csv(spark, str(p), "holidu", multiline=False, rejected="raw").cache()
+    assert got.count() == 301 and got.where("raw is null").count() == 300
+    r = got.where("raw is not null").first()
+    assert r.raw == bad.strip() and r.lat is None and r.capacidad is None and (r.listing_id, r.lng, r.licencia) == ("hx", 2.6, "ETV/9")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert read_listings_csv(spark, str(p), "holidu", multiline=False).rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_snapshots_coexist_and_csv_keeps_quotes(spark, tmp_path):
     from staylink.sources.csv_io import write_listings
     schema = "plataforma string, fecha string, nombre string"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -41,6 +41,28 @@ def add_row_id(df: DataFrame, sort_keys, name: str = "row_id", partition_by=None
     return out.drop("_pid", "_mid")
 
 
+#: Bits of an id that one window of :func:`positions_in` takes: at most 2 ** CHUNK rows.
+CHUNK = 17
+
+
+def positions_in(df: DataFrame, keys, name: str = "_pos", order: str = "row_id") -> DataFrame:
+    """0-based dense position in ``order`` inside each group of ``keys`` (null
+    is a group).  ``order`` is a unique integer: rows are numbered inside chunks
+    of neighbouring values, which bounds a window's rows however hot a group is, and
+    the chunks' counts, a small table, give where each chunk begins.  No sort of the
+    whole, no checkpoint."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    chunked = df.withColumn("_chunk", F.shiftright(F.col(order), CHUNK))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(order)
+    chunked = chunked.withColumn("_in", F.row_number().over(inside) - 1)
+    counts = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.shiftright(F.col(order), CHUNK).alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_c"))
+    starts = counts.withColumn("_start", upto - F.col("_n")).drop("_n")
+    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)] + [F.col("_chunk") == F.col("_c")]
+    return chunked.join(starts, on).withColumn(name, F.col("_start") + F.col("_in")) \
+                  .drop("_chunk", "_c", "_in", "_start", *[f"_k{i}" for i in range(len(keys))])
+
+
 def hash_key(seed, *cols):
     """Deterministic pseudo-random sort key (hex md5 of seed and columns);
     DuckDB computes the same ``md5``."""

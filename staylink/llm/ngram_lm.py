@@ -10,14 +10,15 @@ Trie.  Each shard of a level is a few flat files in the shared folder that
 ``spark.checkpoint.dir`` names.  A level-1 shard is the Elias-Fano sequence of
 its word hashes; the place of a word, plus the shard's offset, is its id.  A
 level-2 shard holds the sequence of its context ids, the monotone pointers to
-where each context's successors begin, the sequence of the successors (context
-rank times vocabulary plus successor id: increasing over the whole shard), their
-quantised log probabilities and each context's quantised backoff weight.
+where each context's successors begin, the sequence of the successors (each
+context's ids on top of the last value of the context before, so it increases),
+their quantised log probabilities and each context's quantised backoff weight.
 
 Queries.  Scoring maps the files into memory - pages that the system may drop,
 not heap - and looks up the distinct words and bigrams of a batch at once: the
-context's rank is searched first, then the least element not below (rank,
-successor) in the whole shard's sequence.  No query reads the pointers.
+context's place, its two pointers, and between them the successor, relative to the
+value before the first.  A search halves the values that share the high bits, so
+a context with very many successors costs no more than their logarithm.
 
 Model.  p(w | v) = (c(v w) - D) / c(v) [if kept] + b(v) p(w), with b(v) the mass
 that the kept successors leave, and p(w) = (c(w) + 1) / (N + V + 1).
@@ -94,22 +95,31 @@ class EliasFano:
         head = np.array([n, low, len(upper), len(lower), top], np.uint64)
         return np.concatenate([head, upper, ones.astype(np.uint64), lower])
 
-    def _zero(self, k: np.ndarray) -> np.ndarray:
-        """Position of the k-th zero (from 0) of the unary part."""
-        if not hasattr(self, "zeros"):
-            self.zeros = 64 * np.arange(len(self.upper) + 1, dtype=np.int64) - self.ones.astype(np.int64)
-        word = np.searchsorted(self.zeros, k, side="right") - 1
-        left = k - self.zeros[word]
-        bits = ~self.upper[np.minimum(word, len(self.upper) - 1)]
+    def _select(self, k: np.ndarray, ones: bool) -> np.ndarray:
+        """Position of the k-th one or zero (from 0) of the unary part.  The
+        directory stays in the mapped file: its words are searched by halving."""
+        before = (lambda w: self.ones[w].astype(np.int64)) if ones else (lambda w: 64 * w - self.ones[w].astype(np.int64))
+        word = np.zeros(len(k), np.int64)
+        for step in 1 << np.arange(len(self.upper).bit_length() - 1, -1, -1):
+            ahead = word + step
+            ok = np.flatnonzero(ahead < len(self.upper))
+            ok = ok[before(ahead[ok]) <= k[ok]]
+            word[ok] = ahead[ok]
+        left = k - before(word)
+        bits = self.upper[word] if ones else ~self.upper[word]
         at = np.zeros(len(k), np.int64)
         for width in (32, 16, 8, 4, 2, 1):
             mask = np.uint64((1 << width) - 1)
-            ones = np.bitwise_count((bits >> at.astype(np.uint64)) & mask).astype(np.int64)
-            go = left >= ones
-            left = np.where(go, left - ones, left)
+            there = np.bitwise_count((bits >> at.astype(np.uint64)) & mask).astype(np.int64)
+            go = left >= there
+            left = np.where(go, left - there, left)
             at = np.where(go, at + width, at)
         return word * 64 + at
 
+    def value(self, i: np.ndarray) -> np.ndarray:
+        """The values at the places ``i``."""
+        return ((self._select(i, True) - i).astype(np.uint64) << np.uint64(self.low)) | self._low(i)
+
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
             return np.zeros(len(i), np.uint64)
@@ -121,27 +131,31 @@ class EliasFano:
             value[over] |= self.lower[(bit[over] >> 6) + 1] << (np.uint64(64) - shift[over])
         return value & np.uint64((1 << self.low) - 1)
 
-    def find(self, x: np.ndarray) -> np.ndarray:
-        """Index of each x, or -1: the successor search of its high part, then
-        of its low bits among the values that share it."""
+    def find(self, x: np.ndarray, begin: "np.ndarray | None" = None, end: "np.ndarray | None" = None) -> np.ndarray:
+        """Index of each x, or -1: the successor search of its high part, then,
+        by halving, of its low bits among the values that share it; with ``begin``
+        and ``end`` only among the places from one to before the other."""
         out = np.full(len(x), -1, np.int64)
         if not self.n or not len(x):
             return out
         ask = np.flatnonzero(x <= np.uint64(self.top))
         v = x[ask]
         high = (v >> np.uint64(self.low)).astype(np.int64)
-        first = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) + 1 - high, 0)
-        last = self._zero(high) - high
-        low = v & np.uint64((1 << self.low) - 1)
+        first = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) + 1 - high, 0)
+        last = self._select(high, False) - high
+        if begin is not None:
+            first, last = np.maximum(first, begin[ask]), np.minimum(last, end[ask])
+        low, stop = v & np.uint64((1 << self.low) - 1), last.copy()
         live = np.flatnonzero(first < last)
-        while len(live):
-            got = self._low(first[live])
-            hit = got == low[live]
-            out[ask[live[hit]]] = first[live[hit]]
-            on = ~hit & (got < low[live])
-            live = live[on]
-            first[live] += 1
-            live = live[first[live] < last[live]]
+        while len(live):  # the least place in [first, stop) whose low bits are not below
+            middle = (first[live] + stop[live]) // 2
+            below = self._low(middle) < low[live]
+            first[live] = np.where(below, middle + 1, first[live])
+            stop[live] = np.where(below, stop[live], middle)
+            live = live[first[live] < stop[live]]
+        hit = np.flatnonzero(first < last)
+        hit = hit[self._low(first[hit]) == low[hit]]
+        out[ask[hit]] = first[hit]
         return out
 
 
@@ -226,32 +240,43 @@ def word_shard(h: np.ndarray, shards: int) -> np.ndarray:
 class Level2:
     """Bigrams: (context id, word id) -> log10 part; context id -> log10 backoff."""
 
-    def __init__(self, folder: str, shards: int, words: int):
-        self.folder, self.shards, self.words, self.open = folder, shards, words, {}
+    def __init__(self, folder: str, shards: int, filled: set):
+        self.folder, self.shards, self.filled, self.open = folder, shards, filled, {}
 
     def _shard(self, s: int):
         if s not in self.open:
             d = f"{self.folder}/b{s}"
-            self.open[s] = (EliasFano(mapped(d, "context")), mapped(d, "backoff"), EliasFano(mapped(d, "next")), mapped(d, "prob")) \
-                if os.path.exists(f"{d}/prob.npy") else None
+            if not os.path.exists(f"{d}/prob.npy"):
+                raise FileNotFoundError(f"{d}: a shard of the trie is missing; the folder must be mounted on all machines")
+            self.open[s] = (EliasFano(mapped(d, "context")), EliasFano(mapped(d, "pointer")), EliasFano(mapped(d, "next")),
+                            mapped(d, "backoff"), mapped(d, "prob"))
         return self.open[s]
 
     def find(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probability part, backoff weight) of pairs of ids sorted by context."""
-        part, backoff = np.zeros(len(context)), np.ones(len(context))
-        shard = context % self.shards
-        for s in np.unique(shard):
-            if (files := self._shard(int(s))) is None:
+        """(probability part, backoff weight) of pairs of ids sorted by context:
+        the pointers of a context bound its successors, which follow the last
+        successor of the context before."""
+        part = np.zeros(len(context))
+        distinct, back = np.unique(context, return_inverse=True)
+        weight = np.ones(len(distinct))
+        shard = distinct % self.shards
+        begin, end, base = (np.zeros(len(distinct), np.int64) for _ in range(3))
+        for s in np.unique(shard).tolist():
+            if s not in self.filled:
                 continue
-            contexts, weights, successors, probs = files
+            contexts, pointers, successors, weights, probs = self._shard(s)
             at = np.flatnonzero(shard == s)
-            rank = contexts.find((context[at] // self.shards).astype(np.uint64))
+            rank = contexts.find((distinct[at] // self.shards).astype(np.uint64))
             at, rank = at[rank >= 0], rank[rank >= 0]
-            backoff[at] = 10.0 ** restore(weights[rank])
-            k = successors.find(rank.astype(np.uint64) * np.uint64(self.words) + word[at].astype(np.uint64))
-            ok = k >= 0
-            part[at[ok]] = 10.0 ** restore(probs[k[ok]])
-        return part, backoff
+            begin[at], end[at] = pointers.value(rank).astype(np.int64), pointers.value(rank + 1).astype(np.int64)
+            later = at[begin[at] > 0]
+            base[later] = successors.value(begin[later] - 1).astype(np.int64) + 1
+            weight[at] = 10.0 ** restore(weights[rank])
+            mine = np.flatnonzero((shard[back] == s) & (end[back] > 0))
+            of = back[mine]
+            k = successors.find((base[of] + word[mine]).astype(np.uint64), begin[of], end[of])
+            part[mine[k >= 0]] = 10.0 ** restore(probs[k[k >= 0]])
+        return part, weight[back]
 
 
 def _sums(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -288,12 +313,13 @@ class Model:
 
     def __init__(self, folder: str, bases: list[int], tokens: int, shards: int):
         self.folder, self.bases, self.tokens, self.shards = folder, bases, tokens, shards
+        self.filled: set = set()  # shards of the second level that hold anything
 
     def word_level(self) -> Level1:
         return Level1(self.folder, self.bases)
 
     def pair_level(self) -> Level2:
-        return Level2(self.folder, self.shards, self.bases[-1] + 1)
+        return Level2(self.folder, self.shards, self.filled)
 
 
 def train(texts: DataFrame, shard_chars: int = SHARD_CHARS, least: int = LEAST, discount: float = DISCOUNT) -> Model:
@@ -370,14 +396,18 @@ def train(texts: DataFrame, shard_chars: int = SHARD_CHARS, least: int = LEAST,
             d = f"{folder}/b{s}"
             save(d, "context", EliasFano.pack(distinct // np.uint64(shards)))
             save(d, "pointer", EliasFano.pack(np.append(first, len(keys))))
-            save(d, "next", EliasFano.pack(rank.astype(np.uint64) * np.uint64(width) + word))
+            # successors of a context come after the last one of the context before
+            final = word[np.append(first[1:], len(keys)) - 1] + np.uint64(1)
+            base = np.cumsum(final) - final
+            save(d, "next", EliasFano.pack(base[rank] + word))
             save(d, "backoff", quantise(np.log10(left)))
             save(d, "prob", quantise(np.log10(part)))
         return pd.DataFrame({"shard": [s], "n": [len(keys)]})
 
     texts_n = texts.count()
     if tokens:
-        only.mapInArrow(pairs, SENT).groupBy("shard").applyInPandas(write_pairs, "shard long, n long").collect()
+        written = only.mapInArrow(pairs, SENT).groupBy("shard").applyInPandas(write_pairs, "shard long, n long").collect()
+        model.filled = {r.shard for r in written if r.n}
     return model
 
 

@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WordHash, bytes_of, load, remainder, stored
+from .ngram_lm import sliced
 from .jaccard import shingles
 
 #: The starting lexicon.
@@ -43,6 +44,8 @@ FIT_ROWS = 20_000
 #: A stem is mined if it stands in so many classes of unmarked toxic training rows, is so many times likelier there,
 #: and that is chance for one of all candidates with at most this probability.
 MINED_SUPPORT, MINED_ODDS, MINED_CHANCE = 3, 10.0, 0.01
+#: Words that a worker remembers, and bytes of text that it handles at once.
+REMEMBERED, RUN = 150_000, 2_000_000
 #: Shortest and longest stem.
 STEM = (3, 8)
 _LETTERS = bytes(c if chr(c).isalpha() or c >= 0x80 else 32 for c in range(256))
@@ -59,7 +62,7 @@ class Voters(dict):
     """word -> numbers of the voters that it makes fire: a lexicon word itself,
     or a mined stem that it begins with.  Remembers a bounded number of words."""
 
-    def __init__(self, words: tuple, stems: tuple, most: int = 400_000):
+    def __init__(self, words: tuple, stems: tuple, most: int = REMEMBERED):
         super().__init__()
         self.names, self._most = [*words, *(f"{s}-" for s in stems)], most
         self._words = {w: k for k, w in enumerate(words)}
@@ -210,9 +213,9 @@ def mined_stems(rows: DataFrame, support: int = MINED_SUPPORT, odds: float = MIN
         """text -> (class, its stems among ``known`` and "", which every text has)."""
         @F.arrow_udf("struct<cls: bigint, stems: array<string>>")
         def of(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            hashes = WordHash()
-            for texts in parts:
-                raw = bytes_of(texts)
+            hashes = WordHash(REMEMBERED)
+            # a few texts at a time: the stems of a batch are many times its texts
+            for raw in (part for texts in parts for part in sliced(bytes_of(texts), RUN)):
                 stems = [["", *(stems_of(b) if known is None else known & stems_of(b))] for b in raw]
                 yield pa.StructArray.from_arrays([pa.array([class_of(b, hashes) for b in raw], pa.int64()),
                                                   pa.array(stems, pa.list_(pa.string()))], names=["cls", "stems"])
@@ -233,7 +236,7 @@ def mined_stems(rows: DataFrame, support: int = MINED_SUPPORT, odds: float = MIN
     if not n0:
         return ()
     good = {s for s, n in in_toxic.items() if significant(n, in_clean.get(s, 0), n1, n0, len(known), odds)}
-    sample = toxic.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows).select(counted(frozenset(good)).alias("c"))
+    sample = least_by_hash(toxic, most_rows).select(counted(frozenset(good)).alias("c"))
     cover = {cls: set(stems[1:]) for cls, stems in sample.select("c.*").collect()}
     stands: dict = {s: set() for s in good}
     for cls, stems in cover.items():
@@ -254,6 +257,21 @@ def mined_stems(rows: DataFrame, support: int = MINED_SUPPORT, odds: float = MIN
     return tuple(chosen)
 
 
+def least_by_hash(rows: DataFrame, most: int) -> DataFrame:
+    """The rows of the ``most`` least (hash of the id, id), and any that share the
+    last one.  Only ids below a hash that should let a few more through are sorted,
+    so no task sends ``most`` rows of its own; texts stay where they are."""
+    key = F.struct(F.xxhash64("doc_id").alias("hash"), F.col("doc_id"))
+    ids = rows.select(key.alias("key"))
+    share = (1.2 * most + 1000) / max(1, rows.count())
+    if share < 1:
+        few = ids.where(F.col("key.hash") < F.lit(int(share * 2 ** 64) - 2 ** 63))
+        ids = few if few.count() >= most else ids
+    last = ids.orderBy("key").limit(most).agg(F.max("key").alias("k")).first().k
+    return rows.where("false") if last is None else \
+        rows.where(key <= F.struct(F.lit(last["hash"]).cast("long").alias("hash"), F.lit(last["doc_id"]).cast("long").alias("doc_id")))
+
+
 def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Voters, np.ndarray, dict]:
     """(voters, weights of the linear classifier, estimates of the label model)."""
     marks = labels.where(F.col("toxic").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != 0)) \
@@ -265,8 +283,7 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tu
     def row_inputs(texts: pa.Array) -> pa.Array:
         return pa.array(list(inputs(bytes_of(texts), voters)[1]), pa.list_(pa.float64()))
 
-    least = rows.select("doc_id", "toxic", row_inputs(F.col("text")).alias("x")) \
-                .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).select("toxic", "x").collect()
+    least = least_by_hash(rows, fit_rows).select("toxic", row_inputs(F.col("text")).alias("x")).collect()
     x = np.array([r[1] for r in least], float).reshape(-1, voters.width + 3)
     if not len(x):  # nothing to fit: two hits are toxic
         w = np.zeros(x.shape[1])
@@ -285,8 +302,8 @@ def score_with(voters: Voters, weights: np.ndarray):
     @F.arrow_udf("double")
     def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = Voters(*kinds)
-        for texts in parts:
-            x = inputs(bytes_of(texts), own)[1]
+        for raw in (part for texts in parts for part in sliced(bytes_of(texts), RUN)):
+            x = inputs(raw, own)[1]
             yield pa.array(1 / (1 + np.exp(-np.clip(x @ weights, -30, 30))), pa.float64())
 
     return score

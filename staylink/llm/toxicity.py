@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import WordHash, bytes_of, load, remainder, stored
-from .ngram_lm import sliced
 from .jaccard import shingles
+from .ngram_lm import sliced
 
 #: The starting lexicon.
 LEXICON = ("idiot", "moron", "stupid", "loser", "trash", "scum", "clown", "pathetic", "worthless", "disgusting",
@@ -276,7 +276,9 @@ def fit(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tu
     """(voters, weights of the linear classifier, estimates of the label model)."""
     marks = labels.where(F.col("toxic").isNotNull() & (remainder(F.col("doc_id"), FOLDS) != 0)) \
                   .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = stored(documents.select("doc_id", "text").join(marks, "doc_id").select("doc_id", "text", "toxic"), "toxic-rows")
+    # texts that cannot learn stay out of the join, which is the same one at every size
+    learned = documents.select("doc_id", "text").where(remainder(F.col("doc_id"), FOLDS) != 0).hint("merge")
+    rows = stored(learned.join(marks, "doc_id").select("doc_id", "text", "toxic"), "toxic-rows")
     voters = Voters(LEXICON, mined_stems(rows))
 
     @F.arrow_udf("array<double>")

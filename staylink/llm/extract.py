@@ -55,6 +55,8 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 _TAG = re.compile(r"""<(?:!--(?s:.*?)(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|[!?/][^>]*+>)""")
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 VARIES = -1
+#: Open elements; those nested deeper lie beside one another in the last of them, as in browsers.
+DEEP = 300
 
 
 class Node:
@@ -70,12 +72,22 @@ def parse(page: str) -> Node:
     root = Node("#")
     stack, at, end = [root], 0, page.rfind(">") + 1
     search = _TAG.search
+
+    def say(text: str) -> None:
+        """Text goes to the open element; one nested too deep goes on behind what
+        has come since."""
+        if len(stack) > DEEP and stack[DEEP - 1].children[-1] is not stack[-1]:
+            top = stack[-1]
+            stack[-1] = Node(top.tag, top.label, top.skip)
+            stack[DEEP - 1].children.append(stack[-1])
+        stack[-1].children.append(text)
+
     while at < end:
         m = search(page, at, end)
         if m is None:
             break
         if m.start() > at:
-            stack[-1].children.append(page[at:m.start()])
+            say(page[at:m.start()])
         at = m.end()
         tag = m[2] or m[5]
         if not tag:
@@ -93,8 +105,10 @@ def parse(page: str) -> Node:
             words = [w for g in _MARKS.findall(marks) for w in (g[0] or g[1] or g[2]).lower().split()]
             if words:
                 label = tag + "." + words[0]
-                skip = skip or (tag not in ("html", "body", "article", "main")
-                                and any(p in SKIP_WORDS for w in words for p in re.split(r"[-_]", w)))
+                if tag not in ("html", "body", "article", "main"):
+                    # inside an article a paragraph's compound names ("share-price") say nothing
+                    whole = tag == "p" and any(n.tag in ("article", "main") for n in stack)
+                    skip = skip or any(p in SKIP_WORDS for w in words for p in ((w,) if whole else re.split(r"[-_]", w)))
         if tag in BLOCK:
             for k in range(len(stack) - 1, 0, -1):  # an open paragraph ends here
                 if stack[k].tag == "p":
@@ -109,8 +123,9 @@ def parse(page: str) -> Node:
                     break
                 if stack[k].tag in ("ul", "ol", "dl", "table", "select"):
                     break
-        node = Node(tag, label, skip)
-        stack[-1].children.append(node)
+        deep = len(stack) >= DEEP
+        node = Node(tag, label, skip or deep and stack[-1].skip)
+        stack[DEEP - 1 if deep else -1].children.append(node)
         if tag in VOID or marks.endswith("/") and tag not in BLOCK:
             continue
         if tag in RAW:
@@ -121,7 +136,7 @@ def parse(page: str) -> Node:
             continue
         stack.append(node)
     if at < len(page):
-        stack[-1].children.append(page[at:])
+        say(page[at:])
     return root
 
 

@@ -46,6 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
+from ..operators.ordering import add_row_id
 from .common import WordHash, bytes_of, drop_stored, load, mix64, stored
 
 WORDS, PERCENT = 3, 90
@@ -329,8 +330,39 @@ def linked(percent: int = PERCENT):
 
 
 def jaccard_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT, hot: int = HOT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of ``documents``."""
+    """(doc_id, n_shingles, component_id) per row of ``documents``.
+
+    Rows that share a doc_id are one vertex.  Where their texts differ, each
+    further text goes through the join under an id of its own beyond all others, and
+    what it reaches is tied to the doc_id afterwards; rows without words are tied to
+    nothing."""
     docs = documents.select("doc_id", "text")
+    digest = F.coalesce(F.md5(F.col("text")), F.lit(""))
+    keyed = docs.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("lo"), F.max(F.xxhash64("text")).alias("hi"))
+    again = stored(keyed.where("lo < hi").select("doc_id"), "again")
+    if again.isEmpty():
+        return _components(docs, words, percent, hot)
+    texts = docs.join(again, "doc_id", "left_semi").select("doc_id", digest.alias("digest")).distinct()
+    first = texts.groupBy("doc_id").agg(F.min("digest").alias("least"))
+    last = docs.agg(F.max("doc_id")).first()[0]
+    own = add_row_id(texts.join(first, "doc_id").where("digest <> least").select("doc_id", "digest"), ["doc_id", "digest"], name="n")
+    own = stored(own.select(F.col("doc_id").alias("of"), "digest", (F.col("n") + F.lit(last) + 1).alias("vertex")), "own-ids")
+    renamed = docs.withColumn("own", digest).join(own, (F.col("doc_id") == F.col("of")) & (F.col("own") == F.col("digest")), "left") \
+                  .select(F.coalesce("vertex", "doc_id").alias("doc_id"), "text")
+    found = stored(_components(renamed, words, percent, hot), "components")
+    held = found.where("n_shingles > 0 and doc_id is not null").select(F.col("doc_id").alias("v"), F.col("component_id").alias("c")).distinct()
+    ties = own.select("vertex", "of").join(held, F.col("vertex") == F.col("v")).select(F.col("c").alias("a"), "of")
+    ties = ties.join(held, F.col("of") == F.col("v"), "left").select("a", F.coalesce("c", "of").alias("b"))
+    tied = connected_components(ties, None, "a", "b", "_c").withColumnRenamed("component", "_tied")
+    out = found.join(own.select("vertex", "of"), F.col("doc_id") == F.col("vertex"), "left") \
+               .join(tied, F.col("component_id") == F.col("_c"), "left")
+    own_id = F.coalesce("of", "doc_id")
+    return out.select(own_id.alias("doc_id"), "n_shingles",
+                      F.when(F.col("n_shingles") == 0, own_id).otherwise(F.coalesce("_tied", "component_id")).alias("component_id"))
+
+
+def _components(docs: DataFrame, words: int, percent: int, hot: int) -> DataFrame:
+    """(doc_id, n_shingles, component_id); rows that share a doc_id share the text."""
     rows = stored(docs.select("doc_id", indexes(words, percent)(F.col("text")).alias("x")).select("doc_id", "x.*"), "sigs")
     alive = rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
     # equal sets fold into their least document

@@ -10,20 +10,23 @@ pigeonhole two linked sets agree wholly on at least one.  A signature is the
 hash of the elements of one segment.
 
 Costs decide how a signature is used.  Equal sets are first folded into one class.
-Signatures met once are dropped by a count with map-side aggregation.  Of every
-other signature only the star (its least class to each other one) is verified;
-most groups of near copies are connected by that.  Where members of a signature
-still lie in different components, they are compared across components inside
-blocks of ``BLOCK`` members (a larger signature takes each pair of its blocks).
-Signatures with more than ``HOT`` members (an empty segment, a common passage) are
+Signatures are shuffled once and those met once dropped.  Of every other signature
+only the star (its least class to each other one) is verified; most groups of near
+copies are connected by that.  Where members of a signature still lie in different
+components, they are compared across components.  Near copies share many signatures
+of one least class, so the members of all of these are compared once, together,
+unless the signatures apart have fewer pairs.  A group is compared inside blocks of
+``BLOCK`` members (a larger one takes each pair of its blocks).  Signatures used
+apart with more than ``HOT`` members (an empty segment, a common passage) are
 refined first: their members are indexed again under the pair of this segment and
-each other segment, and under the one-deletion neighbourhood of the following
-segment.  That is exact: with one segment equal, H others are left for at most H
-differences, so another agrees wholly or all differ in just one element, the
-following segment too.
-
-A comparison reads the parities of the set's elements by hash bucket (four to eight
-buckets an element): two sets differ in at least as many elements as parities, so a
+each other one with such a signature, and under the one-deletion neighbourhood of
+the following segment.  That is exact: with one segment equal, H others are left for
+at most H differences, so another agrees wholly or all differ in just one element,
+the following segment too; and one that agrees wholly and has fewer members is
+compared under its own signature.
+
+A comparison reads the parities of the set's elements by hash bucket (eight to
+sixteen buckets a difference that a link allows): two sets differ in at least as many elements as parities, so a
 pair with more of those than a link allows is none.  Only the others reach the
 verification, which intersects the two sets, recomputed from the texts; only texts
 of candidates are shuffled (a bitmap of fixed size picks them).  Links become
@@ -39,10 +42,11 @@ are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
@@ -50,10 +54,11 @@ from ..operators.ordering import add_row_id
 from .common import WordHash, bytes_of, drop_stored, load, mix64, stored
 
 WORDS, PERCENT = 3, 90
-#: Largest size of a band over its least.
+#: Largest size of a band over its least (at limits below 90 no more than of two
+#: linked sets: segments hold few elements there, fewest at the low end of a band).
 BAND = 1.6
 #: Members from which a signature is refined instead of paired.
-HOT = 300
+HOT = 512
 #: Members of a signature compared at once.
 BLOCK = 256
 #: Size of the bitmap that picks the candidates' texts (2 MB).
@@ -87,19 +92,21 @@ def bands(percent: int = PERCENT, least: int = 1, ratio: float = BAND, most: int
     return np.array(out, np.int64)
 
 
-_BANDS = bands()
+@cache
+def _bands(percent: int) -> np.ndarray:
+    return bands(percent, ratio=BAND if percent >= 90 else min(BAND, 100 / percent))
 
 
 def differences(band: int, percent: int = PERCENT) -> int:
     """Most elements in which two linked sets differ if the larger is in ``band``."""
-    largest = int(_BANDS[band + 1]) - 1
+    largest = int(_bands(percent)[band + 1]) - 1
     return 2 * largest * (100 - percent) // (100 + percent)
 
 
 def indexed_in(size: int, percent: int = PERCENT) -> list[int]:
     """The bands in which a set is indexed: its own and those of larger partners."""
-    own = int(np.searchsorted(_BANDS, size, side="right")) - 1
-    top = int(np.searchsorted(_BANDS, size * 100 // percent, side="right")) - 1
+    own = int(np.searchsorted(_bands(percent), size, side="right")) - 1
+    top = int(np.searchsorted(_bands(percent), size * 100 // percent, side="right")) - 1
     return list(range(own, top + 1))
 
 
@@ -120,18 +127,20 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate([segments(s, b, percent)[0] for b in indexed_in(len(s), percent)])
 
 
-def refined(s: np.ndarray, hot: set, percent: int = PERCENT) -> np.ndarray:
+def refined(s: np.ndarray, hot: set, percent: int = PERCENT, others_too: bool = True) -> np.ndarray:
     """Keys of a set below its hot signatures: (hot segment, other segment) and
-    (hot segment, following segment less one element)."""
+    (hot segment, following segment less one element).  Without ``others_too``
+    the other segment is a hot one as well: those that are not meet by themselves."""
     out = []
     with np.errstate(over="ignore"):
         for b in indexed_in(len(s), percent):
             sig, seg = segments(s, b, percent)
             m = len(sig)
-            for j in np.flatnonzero(np.isin(sig, np.fromiter(hot, np.uint64, len(hot)))):
+            at = np.flatnonzero(np.isin(sig, np.fromiter(hot, np.uint64, len(hot))))
+            for j in at:
                 if m == 1:  # equal sets only, and those are one class already
                     continue
-                others = np.delete(sig, j)
+                others = np.delete(sig, j) if others_too else sig[at[at > j]]
                 out.append(mix64(sig[j] * _P + others))
                 nxt = int((j + 1) % m)
                 of = mix64(s[seg == nxt] ^ np.uint64(0xD1B54A32D192ED03))
@@ -144,9 +153,11 @@ def _long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def parities(s: np.ndarray) -> bytes:
-    """Parity of the elements in each of 2^k buckets, at least four an element."""
-    m = max(64, 1 << int(4 * len(s) - 1).bit_length())
+def parities(s: np.ndarray, percent: int = PERCENT) -> bytes:
+    """Parity of the elements in each of 2^k buckets, at least eight a difference
+    that a link to a set of the same size allows."""
+    most = 2 * len(s) * (100 - percent) // (100 + percent)
+    m = max(64, 1 << int(8 * most - 1).bit_length()) if most else 64
     odd = np.bincount((s & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -303,7 +314,7 @@ def indexes(words: int = WORDS, percent: int = PERCENT):
                    for c in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25)]
             yield pa.StructArray.from_arrays(
                 [pa.array([len(s) for s in found], pa.int64()), pa.array(fps[0], pa.int64()), pa.array(fps[1], pa.int64()),
-                 pa.array([parities(s) for s in found], pa.binary()),
+                 pa.array([parities(s, percent) for s in found], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))],
                 names=["n", "fp1", "fp2", "bits", "sigs"])
 
@@ -370,8 +381,9 @@ def _components(docs: DataFrame, words: int, percent: int, hot: int) -> DataFram
     classes = stored(alive.groupBy(*fp).agg(F.min("doc_id").alias("cls")), "classes")
     firsts = alive.join(classes, (alive["doc_id"] == classes["cls"]) & (alive["fp1"] == classes["fp1"]), "left_semi")
     sigs = firsts.select(F.col("doc_id").alias("cls"), F.explode("sigs").alias("sig"))
-    meets = sigs.groupBy("sig").agg(F.min("cls").alias("least"), F.count("*").alias("members")).where("members > 1")
-    met = stored(sigs.join(meets, "sig"), "met")  # (sig, cls, least, members)
+    same = Window.partitionBy("sig")
+    met = sigs.withColumns({"least": F.min("cls").over(same), "members": F.count("*").over(same)})
+    met = stored(met.where("members > 1"), "met")  # (sig, cls, least, members)
     of = firsts.select(F.col("doc_id").alias("cls"), "n", "bits").dropDuplicates(["cls"])
     side = lambda c: of.select(F.col("cls").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
     star = met.where("cls != least").select(F.col("least").alias("a"), F.col("cls").alias("b")).distinct()
@@ -380,13 +392,14 @@ def _components(docs: DataFrame, words: int, percent: int, hot: int) -> DataFram
     vertices = classes.select("cls").distinct()
     label = stored(connected_components(links, vertices, "a", "b", "cls"), "labels")
     # signatures whose members lie in more than one component
-    open_ = met.select("sig", "cls", "members").join(label, "cls")
+    open_ = met.join(label, "cls")
     split = open_.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
     open_ = stored(open_.join(split.select("sig"), "sig"), "open")
     drop_stored(met)
     if not open_.isEmpty():
-        keyed = open_.where(F.col("members") <= hot).select("sig", "members", "cls", "component")
-        many = open_.where(F.col("members") > hot)
+        keyed, apart = _together(open_)
+        keyed = keyed.unionByName(apart.where(F.col("members") <= hot))
+        many = apart.where(F.col("members") > hot)
         if not many.isEmpty():
             keyed = keyed.unionByName(_refine(many, docs, words, percent))
         rest = verified(candidates(keyed.join(of, "cls"), percent), docs, words, percent)
@@ -398,6 +411,20 @@ def _components(docs: DataFrame, words: int, percent: int, hot: int) -> DataFram
         F.when(F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.coalesce("component_id", F.col("doc_id"))).alias("component_id"))
 
 
+def _together(open_: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sig, members, cls, component) of the groups to compare: the members of all
+    signatures of one least class under that class's id, each once; and those of the
+    signatures that have fewer pairs each on its own."""
+    columns = ["sig", "members", "cls", "component"]
+    whole = open_.groupBy("least", "cls").agg(F.first("component").alias("component"), F.sum("members").alias("pairs"))
+    costs = whole.groupBy("least").agg(F.count("*").alias("of_least"), F.sum("pairs").alias("pairs"))
+    # a group of so many members costs their square; a signature's members, summed over its rows, are its square
+    costs = stored(costs.select("least", "of_least", (F.col("of_least") * F.col("of_least") <= F.col("pairs")).alias("as_one")), "costs")
+    one = whole.join(costs.where("as_one").select("least", "of_least"), "least")
+    one = one.select(F.col("least").alias("sig"), F.col("of_least").alias("members"), "cls", "component")
+    return one, open_.join(costs.where("not as_one").select("least"), "least").select(*columns)
+
+
 def _refine(many: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The members of hot signatures under their refined keys that meet again."""
     per = many.groupBy("cls").agg(F.first("component").alias("component"), F.collect_set("sig").alias("hot"))
@@ -406,7 +433,7 @@ def _refine(many: DataFrame, docs: DataFrame, words: int, percent: int) -> DataF
     def keys(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         hashes = WordHash()
         for texts, hot in parts:
-            yield pa.array([_long(refined(shingles(b, hashes, words), {x & (2 ** 64 - 1) for x in h}, percent))
+            yield pa.array([_long(refined(shingles(b, hashes, words), {x & (2 ** 64 - 1) for x in h}, percent, others_too=False))
                             for b, h in zip(bytes_of(texts), hot.to_pylist())], pa.list_(pa.int64()))
 
     one = docs.dropDuplicates(["doc_id"])

@@ -31,7 +31,7 @@ def test_refined_signatures_against_all_pairs(spark, percent, hot, monkeypatch):
     monkeypatch.setattr(jaccard, "_together", lambda o: (o.select("sig", "members", "cls", "component").where("false"),
                                                          o.select("sig", "members", "cls", "component")))
     texts = [t for words in (12, 30, 120) for _ in range(4)
-             for edits in (max(1, words // 60), max(1, words // 30)) for t in near_copies(rng, 4, edits, words)]
+             for edits in (1, max(1, words // 30)) for t in near_copies(rng, 4, edits, words)]
     sets = [{tuple(t.split()[k:k + 3]) for k in range(len(t.split()) - 2)} for t in texts]
     label = list(range(len(texts)))
     for i, a in enumerate(sets):
